@@ -32,7 +32,9 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
+            # Plain arithmetic, so both engines round ties alike.
+            scale = F.lit(10.0**digits)
+            c = F.floor(c.cast("double") * scale + F.lit(0.5)).cast("double") / scale
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -44,7 +46,8 @@ def m(expr: str, name: str | None = None) -> str:
 
 def q(expr: str, name: str, digits: int = 6) -> str:
     """Rounded quotient."""
-    return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0 AS {name}"
+    scale = f"CAST(1e{digits} AS DOUBLE)"
+    return f"floor(CAST({expr} AS DOUBLE) * {scale} + CAST(0.5 AS DOUBLE)) / {scale} AS {name}"
 
 
 def first_row(select: str, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> str:

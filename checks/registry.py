@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import gold
+from checks import clean, features, gold
 from checks.common import Registry
 
-MODULES = (gold,)
+MODULES = (clean, gold, features)
 
 
 def build() -> Registry:

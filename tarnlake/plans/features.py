@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.functions.scalars import (
@@ -219,8 +219,7 @@ def inventory_product_daily(star: Star) -> DataFrame:
         .filter("FinishedGoodsFlag = 1")
         .select(PRODUCT, DAY, F.lit(0).cast("long").alias("SalesQty"), "PurchaseQty", F.lit(False).alias("_sale"))
     )
-    w = series_window([PRODUCT], DAY)
-    whole = w.rowsBetween(-(1 << 31), (1 << 31) - 1)
+    whole = Window.partitionBy(PRODUCT)
     sale_day = F.when(F.col("_sale"), F.col(DAY))
     days = (
         sold.unionByName(bought)

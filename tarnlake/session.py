@@ -30,6 +30,7 @@ def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tarnlake")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import clean, features, gold
+from checks import clean, dims, features, gold, measures
 from checks.common import Registry
 
-MODULES = (clean, gold, features)
+MODULES = (dims, clean, gold, features, measures)
 
 
 def build() -> Registry:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import clean, dims, features, gold, measures, sources
+from checks import clean, dims, features, gold, governance, learning, measures, sources
 from checks.common import Registry
 
-MODULES = (sources, dims, clean, gold, features, measures)
+MODULES = (sources, dims, clean, gold, features, governance, measures, learning)
 
 
 def build() -> Registry:

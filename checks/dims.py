@@ -10,7 +10,7 @@ from checks.mapping import CALENDAR, Tables, with_tables
 from tarnlake.operators.keys import key_report, number_rows, with_unknown
 from tarnlake.operators.merge import duplicate_keys, merge_counts, scd1_merge
 from tarnlake.plans import dims, facts
-from tarnlake.session import fresh_folder
+from tarnlake.session import checkpointed, fresh_folder
 from tarnlake.sinks import tables as sink
 
 _NR = "'Not registered'"
@@ -92,7 +92,7 @@ def source(spark, sf_dir: str, name: str):
 
 
 def second_load(spark, sf_dir: str, name: str):
-    now = source(spark, sf_dir, name)
+    now = checkpointed(source(spark, sf_dir, name))
     keep, changed = EARLIER[name]
     earlier = now.filter(keep).withColumns(
         {col: F.expr(e).cast(now.schema[col].dataType) for col, e in changed.items()}
@@ -143,9 +143,15 @@ def calendar(spark, sf_dir: str):
 # Facts: looked up in dimensions of their first load.
 
 
-def loaded(spark, sf_dir: str) -> dict:
-    names = ("dim_customer", "dim_currency", "dim_location", "dim_territory", "dim_product", "dim_supplier")
-    out = {n: dims.first_load(n, source(spark, sf_dir, n)) for n in names}
+FACT_DIMS = {
+    "fact_sales_order": ("dim_customer", "dim_currency", "dim_location", "dim_territory"),
+    "fact_sales_order_detail": ("dim_product",),
+    "fact_purchases": ("dim_product", "dim_supplier"),
+}
+
+
+def loaded(spark, sf_dir: str, fact: str) -> dict:
+    out = {n: dims.first_load(n, source(spark, sf_dir, n)) for n in FACT_DIMS[fact]}
     out["dim_date"] = dims.dim_date(spark, *CALENDAR)
     return out
 
@@ -202,7 +208,7 @@ FACT_EARLIER = {
 
 
 def fact_rows(spark, sf_dir: str, name: str):
-    d = loaded(spark, sf_dir)
+    d = loaded(spark, sf_dir, name)
 
     def c(table: str):
         return cleaned(spark, sf_dir, f"clean_{table}")
@@ -215,7 +221,8 @@ def fact_rows(spark, sf_dir: str, name: str):
 
 
 def fact_load(spark, sf_dir: str, name: str):
-    now = fact_rows(spark, sf_dir, name)
+    # Stored, as the tables between two jobs are: both loads start from it.
+    now = checkpointed(fact_rows(spark, sf_dir, name))
     keep, column, old = FACT_EARLIER[name]
     earlier = now.filter(keep).withColumn(column, F.expr(old).cast(now.schema[column].dataType))
     return tidy(facts.load_fact(name, now, earlier))

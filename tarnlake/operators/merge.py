@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.operators.keys import assign_keys
@@ -28,6 +28,15 @@ def reject_duplicates(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source
 
 
+def unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source, failing the job at a second row for a key. The check rides on the
+    shuffle and sort by key that the merge join needs anyway."""
+    w = Window.partitionBy(*keys).orderBy(*keys)
+    message = F.lit(f"merge source has several rows for one key {list(keys)}")
+    only = F.when(F.col("_nth") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return source.withColumn("_nth", F.row_number().over(w)).filter(only).drop("_nth")
+
+
 def _differs(compare: Sequence[str]):
     changed = F.lit(False)
     for c in compare:
@@ -51,7 +60,7 @@ def scd1_merge(
     has no skew to split.
     """
     if check_source:
-        reject_duplicates(source, keys)
+        source = unique_source(source, keys)
     columns = [c for c in target.columns]
     if sk is None:
         joined = target.withColumn("_t", F.lit(1)).alias("t").join(

@@ -18,6 +18,32 @@ def series_window(entity: Sequence[str], date: str) -> WindowSpec:
     return Window.partitionBy(*entity).orderBy(date) if entity else Window.orderBy(date)
 
 
+def _stretched(
+    df: DataFrame, entity: Sequence[str], date: str, upper: Column | None, step: str,
+    carried: Mapping[str, Column],
+) -> DataFrame:
+    """Repeat each row up to the period before the entity's next row; ``_pos`` is 0 on
+    the row itself. ``carried`` are window results of the rows as they were."""
+    following = F.lead(date).over(series_window(entity, date))
+    if step == "day":
+        before_next, interval = F.date_sub(following, 1), F.expr("interval 1 day")
+    else:
+        before_next, interval = F.add_months(following, -1), F.expr("interval 1 month")
+    last = F.col(date) if upper is None else F.greatest(F.col(date), upper)
+    rows = df.withColumns({**carried, "_until": F.coalesce(before_next, last)})
+    kept = [c for c in rows.columns if c not in (date, "_until")]
+    return rows.select(
+        *kept, F.posexplode(F.sequence(F.col(date), F.col("_until"), interval)).alias("_pos", date)
+    )
+
+
+def _zero_filled(df: DataFrame, measures: Sequence[str]) -> list[Column]:
+    return [
+        F.when(F.col("_pos") == 0, F.col(m)).otherwise(F.lit(0).cast(df.schema[m].dataType)).alias(m)
+        for m in measures
+    ]
+
+
 def densify(
     df: DataFrame,
     entity: Sequence[str],
@@ -28,25 +54,40 @@ def densify(
 ) -> DataFrame:
     """One row per entity and period from its first to its last one, zero filled.
 
-    Each row is stretched up to the day before the entity's next row, so no calendar
+    Each row is stretched up to the period before the entity's next row, so no calendar
     join is needed. ``upper`` (an expression over the row) extends the last stretch.
     """
-    following = F.lead(date).over(series_window(entity, date))
+    rows = _stretched(df, entity, date, upper, step, {})
+    return rows.select(*entity, date, *_zero_filled(df, measures))
+
+
+def dense_series(
+    df: DataFrame,
+    entity: Sequence[str],
+    date: str,
+    measures: Sequence[str],
+    upper: Column | None = None,
+    step: str = "day",
+    events: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """``densify`` with what a window would have to add up again: running totals
+    (``_cum_<measure>``), the row's position (``_seen``) and the latest date each of
+    ``events`` held. Zero periods change none of them, so they are worked out on the
+    rows with data and carried over the stretch."""
+    running = series_window(entity, date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = {f"_cum_{m}": F.sum(m).over(running) for m in measures}
+    carried["_first"] = F.min(date).over(running)
+    for name, condition in (events or {}).items():
+        carried[name] = F.max(F.when(condition, F.col(date))).over(running)
+    rows = _stretched(df, entity, date, upper, step, carried)
     if step == "day":
-        before_next, interval = F.date_sub(following, 1), F.expr("interval 1 day")
+        seen = F.datediff(date, "_first") + 1
     else:
-        before_next, interval = F.add_months(following, -1), F.expr("interval 1 month")
-    last = F.col(date) if upper is None else F.greatest(F.col(date), upper)
-    stretched = df.withColumn("_last", F.coalesce(before_next, last)).select(
-        *entity,
-        *measures,
-        F.posexplode(F.sequence(F.col(date), F.col("_last"), interval)).alias("_pos", date),
+        seen = F.months_between(date, "_first").cast("int") + 1
+    return rows.select(
+        *entity, date, *_zero_filled(df, measures), *[f"_cum_{m}" for m in measures],
+        seen.alias("_seen"), *(events or {}),
     )
-    filled = [
-        F.when(F.col("_pos") == 0, F.col(m)).otherwise(F.lit(0).cast(df.schema[m].dataType)).alias(m)
-        for m in measures
-    ]
-    return stretched.select(*entity, date, *filled)
 
 
 def trailing(
@@ -55,36 +96,57 @@ def trailing(
     date: str,
     sums: Mapping[str, tuple[str, int]],
     means: Mapping[str, tuple[str, int]] | None = None,
+    earlier: Mapping[str, tuple[str, int, int]] | None = None,
+    lags: Mapping[str, tuple[str, int]] | None = None,
 ) -> DataFrame:
-    """Sums and means over the last n rows of a dense series, current one included.
+    """Sums and means over the last n rows, current one included.
 
     A running total minus the running total n rows back: cost does not grow with the
-    frame. Exact for integers and decimals, which is what the measures are.
+    frame. Exact for integers and decimals, which is what the measures are. ``earlier``
+    names the same sum k rows back (measure, n, k), ``lags`` plain values k rows back
+    (0 where there is none). Running totals of ``dense_series`` are taken as they are;
+    then one window operator does everything.
     """
-    means = means or {}
+    means, earlier, lags = means or {}, earlier or {}, lags or {}
     w = series_window(entity, date)
-    measures = sorted({m for m, _ in [*sums.values(), *means.values()]})
-    spans = sorted({(m, n) for m, n in [*sums.values(), *means.values()]})
+    pairs = [*sums.values(), *means.values(), *[(m, n) for m, n, _ in earlier.values()]]
+    given = {c for c in df.columns if c.startswith("_cum_") or c == "_seen"}
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = df.withColumns(
+    missing = {f"_cum_{m}": F.sum(m).over(running) for m, _ in pairs if f"_cum_{m}" not in given}
+    if means and "_seen" not in given:
+        missing["_seen"] = F.row_number().over(w)
+    cum = df.withColumns(missing) if missing else df
+    steps = {(m, n) for m, n in [*sums.values(), *means.values()]}
+    for m, n, k in earlier.values():
+        steps |= {(m, k), (m, k + n)}
+    back = cum.withColumns(
         {
-            **{f"_cum_{m}": F.sum(m).over(running) for m in measures},
-            "_seen": F.row_number().over(w),
+            **{f"_back_{m}_{n}": F.lag(f"_cum_{m}", n).over(w) for m, n in sorted(steps)},
+            **{out: F.lag(c, k).over(w) for out, (c, k) in lags.items()},
         }
     )
-    back = cum.withColumns({f"_back_{m}_{n}": F.lag(f"_cum_{m}", n).over(w) for m, n in spans})
+
+    def less(total: Column, old: Column) -> Column:
+        return F.when(old.isNull(), total).otherwise(total - old)
 
     def total(m: str, n: int) -> Column:
-        old = F.col(f"_back_{m}_{n}")
-        return F.when(old.isNull(), F.col(f"_cum_{m}")).otherwise(F.col(f"_cum_{m}") - old)
+        return less(F.col(f"_cum_{m}"), F.col(f"_back_{m}_{n}"))
 
     return back.select(
-        *df.columns,
+        *[c for c in df.columns if c not in given],
         *[total(m, n).alias(out) for out, (m, n) in sums.items()],
         *[
             (total(m, n).cast("double") / F.least(F.col("_seen"), F.lit(n))).alias(out)
             for out, (m, n) in means.items()
         ],
+        *[
+            less(F.col(f"_back_{m}_{k}"), F.col(f"_back_{m}_{k + n}")).alias(out)
+            for out, (m, n, k) in earlier.items()
+        ],
+        *[
+            F.coalesce(out, F.lit(0).cast(df.schema[c].dataType)).alias(out)
+            for out, (c, _) in lags.items()
+        ],
     )
 
 

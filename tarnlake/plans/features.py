@@ -23,9 +23,8 @@ from tarnlake.functions.scalars import (
 )
 from tarnlake.operators.quantiles import exact_quantiles
 from tarnlake.operators.timeseries import (
+    dense_series,
     densify,
-    lagged,
-    last_event,
     rank_within,
     series_window,
     trailing,
@@ -68,11 +67,6 @@ def daily_product(star: Star) -> DataFrame:
     return dated_lines(star).groupBy(PRODUCT, DAY).agg(F.sum("OrderQty").cast("long").alias("DailyQty"))
 
 
-def demand_base(star: Star) -> DataFrame:
-    """Dense product days from first to last sale."""
-    return densify(daily_product(star), [PRODUCT], DAY, ["DailyQty"])
-
-
 def demand_product_daily(star: Star, keep: Sequence[str] | None = None) -> DataFrame:
     """Daily demand per product: trailing sums and means, sale frequency, lags.
 
@@ -80,14 +74,16 @@ def demand_product_daily(star: Star, keep: Sequence[str] | None = None) -> DataF
     """
     spans = (7, 30, 90, 365)
     steps = (1, 7, 30, 90, 365)
-    days = demand_base(star).withColumn("_sold", (F.col("DailyQty") > 0).cast("long"))
+    sold = daily_product(star).withColumn("_sold", (F.col("DailyQty") > 0).cast("long"))
+    days = dense_series(
+        sold, [PRODUCT], DAY, ["DailyQty", "_sold"], events={"_last_sale": F.col("DailyQty") > 0}
+    )
     days = trailing(
         days, [PRODUCT], DAY,
         {**{f"SalesLast{n}Days": ("DailyQty", n) for n in spans}, "_sold30": ("_sold", 30)},
         {f"AvgSalesLast{n}Days": ("DailyQty", n) for n in spans},
+        lags={f"Lag{k}": ("DailyQty", k) for k in steps},
     )
-    days = lagged(days, [PRODUCT], DAY, {f"Lag{k}": ("DailyQty", k) for k in steps}, 0)
-    days = last_event(days, [PRODUCT], DAY, F.col("DailyQty") > 0, "_last_sale")
     out = days.select(
         PRODUCT, DAY, "DailyQty",
         *[f"SalesLast{n}Days" for n in spans],
@@ -108,14 +104,16 @@ def demand_product_monthly(star: Star) -> DataFrame:
         .groupBy(PRODUCT, F.trunc(DAY, "month").alias(MONTH))
         .agg(F.sum("OrderQty").cast("long").alias("MonthlyQty"))
     )
-    months = densify(monthly, [PRODUCT], MONTH, ["MonthlyQty"], step="month")
+    months = dense_series(
+        monthly, [PRODUCT], MONTH, ["MonthlyQty"], step="month",
+        events={"_last_sale": F.col("MonthlyQty") > 0},
+    )
     months = trailing(
         months, [PRODUCT], MONTH,
         {f"SalesLast{n}Months": ("MonthlyQty", n) for n in spans},
         {f"AvgSalesLast{n}Months": ("MonthlyQty", n) for n in spans},
+        lags={f"Lag{k}Month": ("MonthlyQty", k) for k in steps},
     )
-    months = lagged(months, [PRODUCT], MONTH, {f"Lag{k}Month": ("MonthlyQty", k) for k in steps}, 0)
-    months = last_event(months, [PRODUCT], MONTH, F.col("MonthlyQty") > 0, "_last_sale")
     return months.select(
         PRODUCT, MONTH, "MonthlyQty",
         *[f"SalesLast{n}Months" for n in spans],
@@ -141,16 +139,16 @@ def demand_value_monthly(star: Star) -> DataFrame:
     unpartitioned."""
     spans, steps = (3, 6, 12), (1, 3, 12)
     amount = "MonthlySalesAmount"
-    months = densify(monthly_value(star), [], MONTH, [amount], step="month")
+    months = dense_series(
+        monthly_value(star), [], MONTH, [amount], step="month",
+        events={"_last_sale": F.col(amount) > 0},
+    )
     months = trailing(
         months, [], MONTH,
         {f"SalesAmountLast{n}Months": (amount, n) for n in spans},
         {f"AvgSalesAmountLast{n}Months": (amount, n) for n in spans},
+        lags={f"LagAmount{k}Month": (amount, k) for k in steps},
     )
-    months = lagged(months, [], MONTH, {f"LagAmount{k}Month": (amount, k) for k in steps})
-    months = last_event(months, [], MONTH, F.col(amount) > 0, "_last_sale")
-    zero = F.lit(0).cast(months.schema[amount].dataType)
-    months = months.withColumns({f"LagAmount{k}Month": F.coalesce(f"LagAmount{k}Month", zero) for k in steps})
     return months.select(
         MONTH, amount,
         *[f"SalesAmountLast{n}Months" for n in spans],
@@ -190,8 +188,8 @@ def insights_overview_daily(star: Star) -> DataFrame:
     days = trailing(
         days, [], DAY,
         {"SalesLast30Days": ("TotalSalesQty", 30), "PurchasesFinishedLast30Days": ("PurchaseFinishedQty", 30)},
+        earlier={"_prev": ("TotalSalesQty", 30, 30)},
     )
-    days = lagged(days, [], DAY, {"_prev": ("SalesLast30Days", 30)})
     stock = ratio("PurchasesFinishedLast30Days", "SalesLast30Days", at_zero=None)
     return days.select(
         DAY, "TotalSalesQty", *parts, "SalesLast30Days",
@@ -229,12 +227,13 @@ def inventory_product_daily(star: Star) -> DataFrame:
         .filter(F.col(DAY).between(F.col("_from"), F.col("_to")))
         .drop("_sale", "_from", "_to")
     )
-    days = densify(days, [PRODUCT], DAY, ["SalesQty", "PurchaseQty"])
+    days = dense_series(
+        days, [PRODUCT], DAY, ["SalesQty", "PurchaseQty"], events={"_last": F.col("PurchaseQty") > 0}
+    )
     days = trailing(
         days, [PRODUCT], DAY,
         {"SalesLast30Days": ("SalesQty", 30), "PurchasesLast30Days": ("PurchaseQty", 30)},
     )
-    days = last_event(days, [PRODUCT], DAY, F.col("PurchaseQty") > 0, "_last")
     stock = ratio("PurchasesLast30Days", "SalesLast30Days", at_zero=None)
     flags = _stock_flags(stock)
     return days.select(
@@ -261,16 +260,19 @@ def customer_daily(star: Star) -> DataFrame:
         .scalar()
     )
     last = F.least(F.date_add(DAY, 365), end)
-    days = densify(daily, [CUSTOMER], DAY, ["DailyQty", "_amount"], upper=last)
+    # The type joins the days with sales and is carried along, not the dense rows.
+    kinds = star["dim_customer"].select(CUSTOMER, "CustomerType")
+    days = dense_series(
+        daily.join(kinds, CUSTOMER), [CUSTOMER, "CustomerType"], DAY, ["DailyQty", "_amount"],
+        upper=last, events={"_last": F.col("DailyQty") > 0},
+    )
     days = trailing(
-        days, [CUSTOMER], DAY,
+        days, [CUSTOMER, "CustomerType"], DAY,
         {"SalesQtyLast30Days": ("DailyQty", 30), "SalesAmountLast30Days": ("_amount", 30)},
+        earlier={"_prev": ("DailyQty", 30, 30)},
     )
-    days = lagged(days, [CUSTOMER], DAY, {"_prev": ("SalesQtyLast30Days", 30)})
-    days = last_event(days, [CUSTOMER], DAY, F.col("DailyQty") > 0, "_last")
-    kinds = star["dim_customer"].select(CUSTOMER, "CustomerType")
     qty = F.col("SalesQtyLast30Days")
-    return days.join(kinds, CUSTOMER).select(
+    return days.select(
         CUSTOMER, DAY, "DailyQty", "SalesQtyLast30Days",
         F.coalesce("_prev", F.lit(0)).alias("SalesPrev30Days"),
         growth("SalesQtyLast30Days", "_prev").alias("Growth30Days"),
@@ -285,14 +287,13 @@ def customer_daily(star: Star) -> DataFrame:
 
 def product_insights_daily(star: Star) -> DataFrame:
     """Growth, trend, rank and activity per product day."""
-    days = trailing(
-        demand_base(star), [PRODUCT], DAY,
-        {"SalesLast7Days": ("DailyQty", 7), "SalesLast30Days": ("DailyQty", 30)},
+    days = dense_series(
+        daily_product(star), [PRODUCT], DAY, ["DailyQty"], events={"_last": F.col("DailyQty") > 0}
     )
-    days = last_event(days, [PRODUCT], DAY, F.col("DailyQty") > 0, "_last")
-    days = lagged(
+    days = trailing(
         days, [PRODUCT], DAY,
-        {"_prev30": ("SalesLast30Days", 30), "_prev7": ("SalesLast7Days", 7)},
+        {"SalesLast7Days": ("DailyQty", 7), "SalesLast30Days": ("DailyQty", 30)},
+        earlier={"_prev30": ("DailyQty", 30, 30), "_prev7": ("DailyQty", 7, 7)},
     )
     days = days.select(
         PRODUCT, DAY, "DailyQty", "SalesLast7Days", "SalesLast30Days",
@@ -364,8 +365,8 @@ def region_daily(star: Star) -> DataFrame:
     days = trailing(
         days, [TERRITORY], DAY,
         {"SalesQtyLast30Days": ("SalesQty", 30), "SalesAmountLast30Days": ("SalesAmount", 30)},
+        earlier={"_prev": ("SalesAmount", 30, 30)},
     )
-    days = lagged(days, [TERRITORY], DAY, {"_prev": ("SalesAmountLast30Days", 30)})
     change = growth("SalesAmountLast30Days", "_prev", on_null=None)
     return days.withColumn("Growth30Days", change).select(
         TERRITORY, "TerritoryName", DAY, "SalesQty", "SalesAmount", "SalesQtyLast30Days",

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.functions.scalars import margin, profit_status, ratio, short_name
+from tarnlake.session import checkpointed
 
 Star = Mapping[str, DataFrame]
 
@@ -63,6 +64,15 @@ def profitability(star: Star) -> DataFrame:
     )
 
 
+def yearly_totals(star: Star) -> DataFrame:
+    """Revenue and cost per product and year. Stored once: the newest year is looked up
+    in it and it is then filtered, and the line joins must not run twice for that."""
+    sums = profit_lines(star).groupBy("ProductName", "Year").agg(
+        F.sum("LineRevenue").alias("Revenue"), F.sum("LineCost").alias("Cost")
+    )
+    return checkpointed(sums)
+
+
 def recent_years(df: DataFrame, years: int = 2) -> DataFrame:
     """Rows of the last ``years`` years present in the data."""
     newest = df.agg(F.max("Year")).scalar()
@@ -72,11 +82,8 @@ def recent_years(df: DataFrame, years: int = 2) -> DataFrame:
 def revenue_against_cost(star: Star, top: int = 10) -> DataFrame:
     """Best sellers of the last two years. Lines are summed per product and year right
     away; the view's finer grouping would only add a shuffle."""
-    yearly = profit_lines(star).groupBy("ProductName", "Year").agg(
-        F.sum("LineRevenue").alias("Revenue"), F.sum("LineCost").alias("Cost")
-    )
     return (
-        recent_years(yearly)
+        recent_years(yearly_totals(star))
         .groupBy("ProductName")
         .agg(F.sum("Revenue").alias("TotalRevenue"), F.sum("Cost").alias("TotalCost"))
         .select("ProductName", short_name("ProductName").alias("ProductShortName"), "TotalRevenue", "TotalCost")
@@ -179,10 +186,7 @@ def filter_values(profit: DataFrame, field: str, condition: Column | None = None
 
 def loss_alert(star: Star) -> DataFrame:
     """Products that lost money over the latest year."""
-    yearly = profit_lines(star).groupBy("ProductName", "Year").agg(
-        F.sum("LineRevenue").alias("Revenue"), F.sum("LineCost").alias("Cost")
-    )
-    lost = recent_years(yearly, 1).withColumn("Margin", ratio(F.col("Revenue") - F.col("Cost"), "Revenue"))
+    lost = recent_years(yearly_totals(star), 1).withColumn("Margin", ratio(F.col("Revenue") - F.col("Cost"), "Revenue"))
     return lost.filter("Margin < 0").select("ProductName", "Year", "Revenue", "Cost", "Margin")
 
 

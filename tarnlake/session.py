@@ -24,7 +24,9 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = 8, partitions: int = 8, settings: dict[str, str] | None = None
+) -> SparkSession:
     """Session for tests and the bench; a cluster job brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -35,6 +37,8 @@ def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 
 

@@ -12,7 +12,7 @@ from checks.clean import cleaned, rows
 from checks.common import Registry, q, tidy
 from checks.mapping import Tables, with_tables
 from tarnlake.operators import audit, quality, rules
-from tarnlake.plans import governance
+from tarnlake.plans import governance, rulebooks
 from tarnlake.plans.clean_tables import SPECS
 from tarnlake.session import fresh_folder
 from tarnlake.sinks import tables as sink
@@ -20,7 +20,7 @@ from tarnlake.sinks import tables as sink
 NULL_COLUMNS = ("AddressID", "AddressLine2", "City", "PostalCode", "StateProvinceName", "SpatialLocation")
 KEYS = (("l_orderkey",), ("l_partkey",), ("l_orderkey", "l_linenumber"), ("l_partkey", "l_suppkey", "l_shipdate"))
 SILVER = ("clean_hr_employee_org_history", "clean_production_inventory", "clean_sales_territory_history")
-RECORD = "RunID, ProcessName, TableName, ColumnName, Layer, CheckType, TotalRows, FailedRows, Status"
+RAW = ("production_productinventory", "person_stateprovince", "csv_salesorderheader")
 
 
 def lineage(t: Tables):
@@ -79,9 +79,18 @@ def raw_rules(spark, sf_dir: str):
     return out.drop("CheckDate")
 
 
+def derived_raw_rules(spark, sf_dir: str):
+    """Rules derived for three raw tables: a base, a lookup and a headerless file."""
+    t, book = Tables(spark, sf_dir), rulebooks.bronze_rules()
+    parts = [
+        rules.apply_rules(t[n], book, n, layer="BRONZE", run_id="r1", process="ingest").drop("CheckDate") for n in RAW
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def silver_rules(spark, sf_dir: str):
     """Rules derived from the declarations of three cleaned tables."""
-    book = rules.rules_from_specs(SPECS.values())
+    book = rulebooks.silver_rules()
     parts = [
         rules.apply_rules(cleaned(spark, sf_dir, n), book, n, layer="SILVER", run_id="r1", process="clean").drop("CheckDate")
         for n in SILVER
@@ -157,6 +166,12 @@ def register(reg: Registry) -> None:
         [_nulls(c, "marked") for c in ("businessentityid", "accountnumber", "FileSource")]
         + [_dups([c], "marked") for c in ("businessentityid", "activeflag")]),
         {"marked": "SELECT *, ' ' AS FileSource FROM purchasing_vendor"}))
+    reg.add("h04_derived_raw_rules", derived_raw_rules, with_tables(" UNION ALL ".join(
+        _records("ingest", "BRONZE", n, [*[_nulls(c, n) for c in nulls], *[_dups(k, n) for k in keys]])
+        for n, nulls, keys in (
+            (RAW[0], ("productid", "locationid"), [("productid", "locationid")]),
+            (RAW[1], ("stateprovinceid",), [("stateprovinceid",)]),
+            (RAW[2], ("_c0",), [])))))
     reg.add("h05_silver_rules", silver_rules, with_tables(_silver_sql(), CLEAN))
     reg.add("h06_lineage_rows", lineage_of_writes, """
         SELECT 'r1' AS RunID, 'load' AS ProcessName, 'SILVER' AS Layer, 'orders' AS TableSaved, count(*) AS QtyRead,

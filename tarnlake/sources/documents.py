@@ -27,10 +27,10 @@ def explode_map(
 
 def zip_arrays(df: DataFrame, column: str, schema: str, names: Mapping[str, str]) -> DataFrame:
     """JSON object of parallel arrays -> one row per position. ``names`` maps array
-    field to output column."""
+    field to output column. A shorter or absent array gives nulls, not fewer rows."""
     kept = [c for c in df.columns if c != column]
     parsed = df.select(*kept, F.from_json(column, schema).alias("_doc"))
-    zipped = F.arrays_zip(*[F.col(f"_doc.{f}").alias(f) for f in names])
+    zipped = F.arrays_zip(*[F.coalesce(f"_doc.{f}", F.array()).alias(f) for f in names])
     rows = parsed.select(*kept, F.explode(zipped).alias("_row"))
     return rows.select(*kept, *[F.col(f"_row.{f}").alias(o) for f, o in names.items()])
 

@@ -423,13 +423,11 @@ def customer_first_days(star: Star, days: int = 90, per_order: bool = False) ->
 
 
 def customer_classification(star: Star, per_order: bool = False) -> DataFrame:
-    """First-days behaviour with the value tier by the 33 and 66 percent points."""
-    rows = customer_first_days(star, per_order=per_order)
+    """First-days behaviour with the value tier by the 33 and 66 percent points. The
+    rows, one per customer, are stored once for both."""
+    rows = checkpointed(customer_first_days(star, per_order=per_order))
     value = F.col("TotalHistoricalValue")
-    p33, p66 = exact_quantiles(
-        star["fact_sales_order"].groupBy(CUSTOMER).agg(F.sum("SubTotal").alias("v"))
-        .join(rows.select(CUSTOMER), CUSTOMER, "left_semi"), "v", [0.33, 0.66]
-    )
+    p33, p66 = exact_quantiles(rows, "TotalHistoricalValue", [0.33, 0.66])
     tier = F.when(value >= p66, "GOLD").when(value >= p33, "SILVER").otherwise("BRONZE")
     return rows.withColumn("ClientRank", tier)
 

@@ -45,24 +45,34 @@ def dated(facts: DataFrame, star: Star) -> DataFrame:
 
 
 def sold_lines(star: Star, dates: bool = False, places: bool = False, products: bool = True) -> DataFrame:
-    """Sales lines with only the dimensions a report asks for."""
+    """Sales lines with only the dimensions a report asks for.
+
+    Unless all are asked for, lines are first summed per dimension key, so dimensions
+    join sums. Every measure is linear in quantity and line total, so nothing changes.
+    """
     lines = star["fact_sales_order_detail"].select("OrderID", "Product_SK", "OrderQty", "LineTotal")
+    if dates or places:
+        lines = lines.join(
+            star["fact_sales_order"].select("OrderID", "OrderDate_SK", "Location_SK"), "OrderID"
+        )
+    asked = {"Product_SK": products, "OrderDate_SK": dates, "Location_SK": places}
+    if not all(asked.values()):
+        lines = lines.groupBy(*[k for k, on in asked.items() if on]).agg(
+            F.sum("OrderQty").alias("OrderQty"), F.sum("LineTotal").alias("LineTotal")
+        )
     if products:
         goods = repaired_products(star["dim_product"]).select(
             "Product_SK", "Category", "SubCategory", "ProductName", "StandardCost"
         )
         lines = lines.join(goods, "Product_SK")
-    if dates or places:
-        heads = star["fact_sales_order"].select("OrderID", "OrderDate_SK", "Location_SK")
-        if dates:
-            heads = dated(heads, star)
-        if places:
-            where = star["dim_location"].select(
-                "Location_SK", F.col("CountryName").alias("Country"),
-                F.col("StateProvinceName").alias("StateProvince"), "City",
-            )
-            heads = heads.join(where, "Location_SK")
-        lines = lines.join(heads, "OrderID")
+    if dates:
+        lines = dated(lines, star)
+    if places:
+        where = star["dim_location"].select(
+            "Location_SK", F.col("CountryName").alias("Country"),
+            F.col("StateProvinceName").alias("StateProvince"), "City",
+        )
+        lines = lines.join(where, "Location_SK")
     return lines
 
 

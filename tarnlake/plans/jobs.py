@@ -7,6 +7,7 @@ fails gets a FAIL row and the next one goes on.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -31,6 +32,7 @@ DIMENSION_SOURCES = {
     "dim_territory": (dims.territory_source, ("clean_sales_territory",)),
 }
 CALENDAR = ("2010-01-01", "2025-12-31")
+AT_ONCE = 4  # tables submitted at the same time
 
 
 def table_path(root: str, table: str) -> str:
@@ -70,9 +72,13 @@ def _store(
 def store_all(
     spark: SparkSession, root: str, builds: Mapping[str, Callable[[], DataFrame]], *, run_id: str, process: str
 ) -> list[str]:
-    """Store tables one after another, then log them together: one small write per log
-    and job, and the checks of all tables run as one Spark job. Returns the failed."""
-    done = {t: _store(spark, root, t, b, dict(run_id=run_id, process=process)) for t, b in builds.items()}
+    """Store independent tables, a few at a time so that small ones do not leave the
+    cluster idle, then log them together: one small write per log and job, and the
+    checks of all tables run as one Spark job. Returns the failed."""
+    common = dict(run_id=run_id, process=process)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        results = pool.map(lambda item: _store(spark, root, *item, common), builds.items())
+        done = dict(zip(builds, results))
     logs = {
         "data_lineage": [row for _, row, _ in done.values()],
         "data_quality": [checks for _, _, checks in done.values() if checks is not None],

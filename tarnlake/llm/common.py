@@ -44,3 +44,9 @@ def need(df: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
+
+
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20) -> None:
+    """Bound what one Arrow batch of long texts holds in a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarnlake.llm import quality_rules
-from tarnlake.llm.common import table
+from tarnlake.llm import quality_rules, token_counts, token_shards
+from tarnlake.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUALITY = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -17,8 +19,26 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(*QUALITY)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    sequences, _ = token_shards.write_shards(
+        table(spark, sf_dir, "documents"), token_shards.shard_folder(spark),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return sequences
+
+
 QUERIES: dict[str, Query] = {
+    "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op8_token_shards": op8_token_shards,
 }
 ORACLES: dict[str, str] = {
     "op6_quality_rules": f"SELECT {', '.join(QUALITY)} FROM ({quality_rules.judged_sql()}) AS q",

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import quality_rules, token_counts, token_shards
+from tarnlake.llm import decontaminate, quality_rules, sharding, token_counts, token_shards
 from tarnlake.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(*QUALITY)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(found)
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return sharding.place(docs, "doc_id", [f"shard-{k:03d}" for k in range(128)])
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = table(spark, sf_dir, "documents").select(
@@ -36,10 +46,13 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_decontaminate": op3_decontaminate,
+    "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_shards": op8_token_shards,
 }
 ORACLES: dict[str, str] = {
+    "op3_decontaminate": decontaminate.ORACLE,
     "op6_quality_rules": f"SELECT {', '.join(QUALITY)} FROM ({quality_rules.judged_sql()}) AS q",
 }

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tarnlake.llm.common import need
 
 # Fixed values of the vocabulary's own description: what parts pieces, and what is white space there.
-SPACE = r"\t-\r\x20\x85\xa0  -     　"
+SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + SPACE + r"\p{L}\p{N}]+"
 # Pieces remembered by a worker before it starts anew; bounds its memory, not its results.
 REMEMBERED = 400_000

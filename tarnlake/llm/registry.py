@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import decontaminate, quality_rules, sharding, token_counts, token_shards
+from tarnlake.llm import decontaminate, neighbour_quality, quality_rules, sharding, token_counts, token_shards
 from tarnlake.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,12 +45,24 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs, sample = table(spark, sf_dir, "documents"), 3000
+    labelled = neighbour_quality.training_rows(docs, table(spark, sf_dir, "labels"), "quality", sample)
+    space = neighbour_quality.fit(labelled, "quality", sample=sample)
+    scored = neighbour_quality.score(docs.select("doc_id", "text"), space)
+    return scored.select(
+        "doc_id", neighbour_quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_shards": op8_token_shards,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import decontaminate, neighbour_quality, page_text, quality_rules, sharding, token_counts, token_shards
+from tarnlake.llm import decontaminate, neighbour_quality, page_text, quality_rules, sharding, shingle_join, token_counts, token_shards
 from tarnlake.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return shingle_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -64,6 +69,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_decontaminate": op3_decontaminate,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
@@ -72,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {
+    "op2_ngram_jaccard": shingle_join.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,
     "op6_quality_rules": f"SELECT {', '.join(QUALITY)} FROM ({quality_rules.judged_sql()}) AS q",
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import decontaminate, neighbour_quality, page_text, quality_rules, sharding, shingle_join, token_counts, token_shards
+from tarnlake.llm import decontaminate, neighbour_quality, page_text, paragraph_dedup, quality_rules, sharding, shingle_join, token_counts, token_shards
 from tarnlake.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,11 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return paragraph_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs, sample = table(spark, sf_dir, "documents"), 3000
@@ -75,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_shards": op8_token_shards,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {

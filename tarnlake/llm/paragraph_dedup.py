@@ -88,7 +88,7 @@ def signatures(docs: DataFrame, min_words: int, size: int, bands: int, rows: int
 
 
 def repeated_paragraphs(
-    docs: DataFrame, percent: int = 80, size: int = 5, min_words: int = 50, recall: float = 0.9998, text: str = "text", seed: int = 1,
+    docs: DataFrame, percent: int = 80, size: int = 5, min_words: int = 40, recall: float = 0.9998, text: str = "text", seed: int = 1,
 ) -> DataFrame:
     """Every paragraph that is in a cluster of two or more: its cluster's first occurrence, the cluster's size, whether it goes."""
     need(docs, "doc_id", text)

@@ -1,12 +1,20 @@
-"""From raw documents to training shards, in stages that each keep whole results."""
+"""From raw documents to training shards, in stages that each keep whole results.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last return the columns of
+documents. Nulls, empty texts, repeated rows and empty tables are treated as the operators of the stages say.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import quality_rules
-from tarnlake.llm.common import stored, table
+from tarnlake.llm import decontaminate, domain_mix, quality_rules, shingle_join, token_shards
+from tarnlake.llm.common import bounded_batches, stored, table
+
+#: Shares of tokens that the training text should have: clean, toxic.
+TARGETS = (0.97, 0.03)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,9 +22,38 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).filter("kept").select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    bounded_batches(spark)
+    return shingle_join.representatives(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document comes as often as its rate towards the target shares says: clean ones once or more."""
+    bounded_batches(spark)
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("domain"))
+    return domain_mix.drawn(domain_mix.mix(docs, labels, TARGETS)).select(*docs.columns)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token shards in training order; returns where each sequence is."""
+    bounded_batches(spark)
+    sequences, _ = token_shards.write_shards(
+        docs, token_shards.shard_folder(spark), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return sequences
+
+
+STAGES = [
+    ("quality_rules", quality), ("ngram_jaccard", near_copies), ("decontaminate", benchmark),
+    ("domain_mix", mixture), ("token_shards", shards),
+]
 
-#: Token ids of a trained vocabulary cannot be had in SQL.
+#: Similarity components, a fitted mixture and token ids of a trained vocabulary cannot be had in one SQL query.
 ORACLE_SQL = None
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import decontaminate, neighbour_quality, page_text, paragraph_dedup, quality_rules, sharding, shingle_join, token_counts, token_shards
+from tarnlake.llm import decontaminate, domain_mix, neighbour_quality, page_text, paragraph_dedup, quality_rules, sharding, shingle_join, token_counts, token_shards
 from tarnlake.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op7_domain_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domains are the cells of the labelled table: poor, poor and toxic, good, good and toxic."""
+    bounded_batches(spark)
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("domain"))
+    mixed = domain_mix.mix(table(spark, sf_dir, "documents").select("doc_id", "text"), labels, (0.04, 0.01, 0.9, 0.05))
+    return mixed.select("doc_id", "n_tokens", F.transform("posteriors", lambda x: F.round(x, 6)).alias("posteriors"), "rate")
+
+
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     sequences, _ = token_shards.write_shards(
@@ -79,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op7_domain_mix": op7_domain_mix,
     "op8_token_shards": op8_token_shards,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,

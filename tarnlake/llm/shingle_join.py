@@ -137,6 +137,20 @@ def join_documents(docs: DataFrame, percent: int = 90, size: int = 3, text: str
         F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"))
 
 
+def representatives(docs: DataFrame, percent: int = 90, size: int = 3, text: str = "text") -> DataFrame:
+    """One document of each group, the one of the smallest id; rows without id stay. All columns are kept."""
+    joined = stored(join_documents(docs, percent, size, text), "joined")
+    gone = small(stored(joined.filter("component_id <> doc_id").select("doc_id").distinct(), "copies"), BROADCAST_ROWS)
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # The same row given again is a copy as well.
+    again = stored(joined.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    if again.isEmpty():
+        return left
+    again = small(again, BROADCAST_ROWS)
+    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(
+        left.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", text]))
+
+
 ORACLE = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x20\x09-\x0D]+') AS w FROM documents),

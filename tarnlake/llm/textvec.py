@@ -10,6 +10,8 @@ import pyarrow as pa
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[32, *range(9, 14)]] = True
+#: Everything in ASCII but letters and digits.
+SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 _powers = np.ones(1, dtype=np.uint64)
@@ -50,9 +52,9 @@ def pieces(texts: pa.Array, size: int = 2 << 20) -> Iterator[tuple[slice, np.nda
         at = to
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word, A-Z lowered, and the text it is in."""
-    inside = ~_IS_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word, A-Z lowered, and the text it is in; ``parts``: which bytes part words."""
+    inside = ~parts[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     edges = offsets[:-1][offsets[:-1] < len(data)]

@@ -46,6 +46,19 @@ SOURCES = {
     "dim_territory": """
         SELECT TerritoryID, TerritoryName, TerritoryGroup, CountryRegionCode FROM clean_sales_territory""",
 }
+# The unknown member of each dimension, written out.
+UNKNOWN = {
+    "dim_currency": f"""-1 AS CurrencyRateID, 'UNK' AS FromCurrencyCode, {_NR} AS FromCurrencyName, 'UNK' AS ToCurrencyCode,
+        {_NR} AS ToCurrencyName, NULL AS CurrencyRateDate, 0 AS AverageRate, 0 AS EndOfDayRate""",
+    "dim_customer": f"""-1 AS CustomerID, NULL AS PersonID, NULL AS StoreID, 'NOT REGISTERED' AS CustomerType,
+        {_NR} AS PersonName, {_NR} AS StoreName""",
+    "dim_location": f"""-1 AS AddressID, {_NR} AS AddressLine1, NULL AS AddressLine2, {_NR} AS City, {_NR} AS StateProvinceName,
+        {_NR} AS CountryName, {_NR} AS PostalCode, NULL AS SpatialLocation""",
+    "dim_product": f"""-1 AS ProductID, {_NR} AS ProductName, {_NR} AS Category, {_NR} AS SubCategory, {_NR} AS ModelName,
+        0 AS StandardCost, 0 AS ListPrice, 0 AS FinishedGoodsFlag""",
+    "dim_supplier": f"-1 AS SupplierID, {_NR} AS SupplierName, NULL AS CreditRating, false AS IsActiveSupplier",
+    "dim_territory": f"-1 AS TerritoryID, {_NR} AS TerritoryName, {_NR} AS TerritoryGroup, {_NR} AS CountryRegionCode",
+}
 COLUMNS = {
     "dim_currency": "CurrencyRateID FromCurrencyCode FromCurrencyName ToCurrencyCode ToCurrencyName CurrencyRateDate AverageRate EndOfDayRate",
     "dim_customer": "CustomerID PersonID StoreID CustomerType PersonName StoreName",
@@ -112,10 +125,7 @@ def second_load_sql(name: str) -> str:
     def shown(c: str, e: str) -> str:
         return m(e, c) if c in MONEY else q(e, c) if c in RATES else f"{e} AS {c}"
 
-    unknown = ", ".join(
-        ("NULL" if d.unknown.get(c) is None else repr(d.unknown[c]).replace("False", "false")) + f" AS {c}"
-        for c in cols
-    )
+    unknown = UNKNOWN[name]
     picked = ", ".join(shown(c, c if c in d.keys else f"CASE WHEN upd THEN s_{c} ELSE {c} END") for c in cols)
     body = f"""
     SELECT {d.sk}, {picked}, CASE WHEN upd THEN 'update' ELSE 'keep' END AS merge_action
@@ -326,7 +336,7 @@ def register(reg: Registry) -> None:
             "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL HAVING count(*) > 1")
     reg.add("b06_unknown_member", unknown_member, with_tables(
         f"SELECT b.*, SupplierID + 1 AS Supplier_SK FROM ({SOURCES['dim_supplier']}) AS b "
-        "UNION ALL SELECT -1, 'Not registered', 0, false, -1", CLEAN))
+        "UNION ALL SELECT -1, 'Not registered', NULL, false, -1", CLEAN))
     reg.add("b07_feature_table", feature_table,
             "SELECT l_partkey, date_trunc('month', l_shipdate)::DATE AS month, sum(l_quantity) AS qty FROM lineitem GROUP BY ALL")
     reg.add("b08_key_report", lambda s, d: key_report(lines(s, d), ["l_orderkey", "l_linenumber"]), """

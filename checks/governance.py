@@ -203,7 +203,7 @@ def register(reg: Registry) -> None:
     add("h15_log_calendar", lambda t: governance.by_log_day(t["log_lineage"], "LogDate"),
         """SELECT LogDate AS FullDate, count(*) AS LogRows, year(LogDate)::INT AS CalendarYear,
              month(LogDate)::INT AS MonthNumberOfYear, day(LogDate)::INT AS DayNumberOfMonth
-           FROM log_lineage WHERE year(LogDate) BETWEEN 2020 AND 2030 GROUP BY LogDate""")
+           FROM log_lineage GROUP BY LogDate""")
     add("h16_failures", lambda t: governance.failures(lineage(t)).withColumn("StartDate", F.unix_timestamp("StartDate")),
         """SELECT ProcessName, Layer, TableSaved, floor(epoch(ts))::BIGINT AS StartDate, ErrorMsg
            FROM log_lineage WHERE Status = 'FAIL'""")

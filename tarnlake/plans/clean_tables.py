@@ -28,19 +28,19 @@ def _typed(types: Mapping[str, str], cast: str) -> dict[str, str]:
 
 # Columns of the two history files, in file order.
 ORDER_HEADER = {
-    "SalesOrderID": "int", "RevisionNumber": "int", "OrderDate": "timestamp",
+    "SalesOrderID": "bigint", "RevisionNumber": "int", "OrderDate": "timestamp",
     "DueDate": "timestamp", "ShipDate": "timestamp", "Status": "int",
     "OnlineOrderFlag": "boolean", "SalesOrderNumber": "string",
-    "PurchaseOrderNumber": "string", "AccountNumber": "string", "CustomerID": "int",
-    "SalesPersonID": "int", "TerritoryID": "int", "BillToAddressID": "int",
-    "ShipToAddressID": "int", "ShipMethodID": "int", "CreditCardID": "int",
-    "CreditCardApprovalCode": "string", "CurrencyRateID": "int",
+    "PurchaseOrderNumber": "string", "AccountNumber": "string", "CustomerID": "bigint",
+    "SalesPersonID": "bigint", "TerritoryID": "bigint", "BillToAddressID": "bigint",
+    "ShipToAddressID": "bigint", "ShipMethodID": "bigint", "CreditCardID": "bigint",
+    "CreditCardApprovalCode": "string", "CurrencyRateID": "bigint",
     "SubTotal": "decimal(19,4)", "TaxAmt": "decimal(19,4)", "Freight": "decimal(19,4)",
     "TotalDue": "decimal(19,4)", "Comment": "string",
 }
 ORDER_DETAIL = {
-    "SalesOrderID": "int", "SalesOrderDetailID": "int", "CarrierTrackingNumber": "string",
-    "OrderQty": "int", "ProductID": "int", "SpecialOfferID": "int",
+    "SalesOrderID": "bigint", "SalesOrderDetailID": "bigint", "CarrierTrackingNumber": "string",
+    "OrderQty": "int", "ProductID": "bigint", "SpecialOfferID": "bigint",
     "UnitPrice": "decimal(19,4)", "UnitPriceDiscount": "decimal(19,4)",
     "LineTotal": "decimal(38,6)",
 }
@@ -227,7 +227,7 @@ SPECS = {
         CleanSpec(
             "clean_sales_order_detail",
             (Part("sales_salesorderdetail", _same(*ORDER_DETAIL)),
-             Part("csv_salesorderdetail", _typed(ORDER_DETAIL, "cast"))),
+             Part("csv_salesorderdetail", _typed(ORDER_DETAIL, "try_cast"))),
             ("SalesOrderDetailID",), ("SalesOrderDetailID",)),
         CleanSpec(
             "clean_sales_customer",

@@ -384,13 +384,13 @@ def customer_first_days(star: Star, days: int = 90, per_order: bool = False) ->
 
     Order lines are the unit, so an order's subtotal counts once per line;
     ``per_order`` counts orders instead. Lines are summed per customer, day, product
-    before the first day is joined back.
+    before the first day is joined back. Orders of unknown day count in the history only.
     """
     goods = star["dim_product"].select(PRODUCT, "SubCategory")
     orders = star["fact_sales_order"].select(
         "OrderID", CUSTOMER, "SubTotal",
-        F.to_date(F.col("OrderDate_SK").cast("string"), "yyyyMMdd").alias("_day"),
-    )
+        F.expr("try_to_date(cast(OrderDate_SK as string), 'yyyyMMdd')").alias("_day"),
+    ).filter("_day is not null")
     lines = star["fact_sales_order_detail"].select("OrderID", PRODUCT).join(goods, PRODUCT)
     bought = orders.join(lines, "OrderID")
     unit = ("OrderID",) if per_order else ()

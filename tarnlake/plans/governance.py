@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.plans.dims import dim_date
-
-LOG_CALENDAR = ("2020-01-01", "2030-12-31")
 
 
 def _seconds():
@@ -53,13 +50,12 @@ def load_by_table(lineage: DataFrame) -> DataFrame:
     )
 
 
-def by_log_day(log: DataFrame, time_column: str, spark: SparkSession | None = None) -> DataFrame:
-    """Log rows counted per calendar day; the calendar is a fixed 11 years."""
-    days = dim_date(spark or log.sparkSession, *LOG_CALENDAR).select(
-        "FullDate", "CalendarYear", "MonthNumberOfYear", "DayNumberOfMonth"
-    )
+def by_log_day(log: DataFrame, time_column: str) -> DataFrame:
+    """Log rows counted per day, whatever the years of the log, with the day's calendar columns."""
     counted = log.groupBy(F.to_date(time_column).alias("FullDate")).agg(F.count(F.lit(1)).alias("LogRows"))
-    return counted.join(days, "FullDate")
+    return counted.select(
+        "FullDate", "LogRows", F.year("FullDate").alias("CalendarYear"),
+        F.month("FullDate").alias("MonthNumberOfYear"), F.dayofmonth("FullDate").alias("DayNumberOfMonth"))
 
 
 def failures(lineage: DataFrame) -> DataFrame:

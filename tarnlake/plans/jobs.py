@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.operators.audit import lineage_row
-from tarnlake.operators.merge import ACTION
+from tarnlake.operators.merge import ACTION, unique_source
 from tarnlake.operators.rules import apply_rules
 from tarnlake.plans import dims, facts
 from tarnlake.plans.clean_tables import SPECS, clean_table
@@ -103,13 +103,15 @@ def _current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
 
 
 def dimension_job(
-    spark: SparkSession, root: str, run_id: str, calendar: tuple[str, str] = CALENDAR
+    spark: SparkSession, root: str, run_id: str, calendar: tuple[str, str] | None = None, failed: Iterable[str] = ()
 ) -> list[str]:
-    """Cleaned tables to the next version of every dimension."""
+    """Cleaned tables to the next version of every dimension. Without ``calendar`` the days of the stored orders are
+    covered; a dimension that reads a ``failed`` table is not built."""
     def build(name: str) -> DataFrame:
         if name == "dim_date":
-            return dims.dim_date(spark, *calendar)
+            return dims.dim_date(spark, *(calendar or covered_days(spark, root)))
         make, needed = DIMENSION_SOURCES[name]
+        _needs(needed, failed)
         source = make(*[read_table(spark, root, t) for t in needed])
         return dims.load_dimension(name, source, _current(spark, root, name))
 
@@ -117,10 +119,38 @@ def dimension_job(
     return store_all(spark, root, builds, run_id=run_id, process="dimensions")
 
 
+def covered_days(spark: SparkSession, root: str) -> tuple[str, str]:
+    """First and last day of the calendar: the usual range, widened to every stored order and ship date."""
+    first, last = CALENDAR
+    for table in ("clean_sales_order_header", "clean_purchasing_order"):
+        if (df := _current(spark, root, table)) is not None:
+            days = df.select(F.explode(F.array(F.to_date("OrderDate"), F.to_date("ShipDate"))).alias("d"))
+            low, high = days.agg(F.date_format(F.min("d"), "yyyy-MM-dd"), F.date_format(F.max("d"), "yyyy-MM-dd")).first()
+            first, last = min(first, low or first), max(last, high or last)
+    return first, last
+
+
+def _needs(tables: Iterable[str], failed: Iterable[str]) -> None:
+    missing = sorted(set(tables) & set(failed))
+    if missing:
+        raise RuntimeError(f"skipped: {', '.join(missing)} failed in this run")
+
+
+# Fact -> the tables whose failure it cannot do without.
+FACT_NEEDS = {
+    "fact_sales_order": (
+        "clean_sales_order_header", "dim_customer", "dim_currency", "dim_location", "dim_territory", "dim_date"),
+    "fact_sales_order_detail": ("clean_sales_order_detail", "dim_product"),
+    "fact_purchases": (
+        "clean_purchasing_order_line", "clean_purchasing_order", "dim_supplier", "dim_product", "dim_date"),
+}
+
+
 def fact_job(
-    spark: SparkSession, root: str, run_id: str, names: Iterable[str] = tuple(facts.FACT_KEYS)
+    spark: SparkSession, root: str, run_id: str, names: Iterable[str] = tuple(facts.FACT_KEYS), failed: Iterable[str] = ()
 ) -> list[str]:
-    """Cleaned tables and dimensions to the next version of every fact."""
+    """Cleaned tables and dimensions to the next version of every fact. A fact that reads a ``failed`` table is not
+    built on yesterday's keys; its log row says why."""
     def read(table: str) -> DataFrame:
         return read_table(spark, root, table)
 
@@ -134,9 +164,12 @@ def fact_job(
             read("clean_purchasing_order_line"), read("clean_purchasing_order"), members)
 
     def build(name: str) -> DataFrame:
+        _needs(FACT_NEEDS[name], failed)
         target = _current(spark, root, name)
         rows = source(name)
-        return rows.withColumn(ACTION, F.lit("insert")) if target is None else facts.load_fact(name, rows, target)
+        if target is None:
+            return unique_source(rows, facts.FACT_KEYS[name]).withColumn(ACTION, F.lit("insert"))
+        return facts.load_fact(name, rows, target)
 
     builds = {n: lambda n=n: build(n) for n in names}
     return store_all(spark, root, builds, run_id=run_id, process="facts")

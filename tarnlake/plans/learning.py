@@ -25,7 +25,7 @@ def feature_pipeline(label: str = "ClientRank", features: Sequence[str] = TIER_F
     return Pipeline(
         stages=[
             StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc"),
-            VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
+            VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error"),
         ]
     )
 
@@ -62,8 +62,9 @@ def scores(predictions: DataFrame) -> DataFrame:
     return predictions.sparkSession.createDataFrame(rows, "metric string, value double")
 
 
-def confusion(predictions: DataFrame, classes: int = 3) -> DataFrame:
-    """Counts of predicted class (columns) per true class (rows)."""
+def confusion(predictions: DataFrame) -> DataFrame:
+    """Counts of predicted class (columns) per true class (rows), for every class that is met."""
+    classes = int(predictions.agg(F.max(F.greatest("label", "prediction"))).first()[0] or 0) + 1
     wide = predictions.groupBy(F.col("label").cast("int").alias("label")).pivot(
         "prediction", [float(i) for i in range(classes)]
     ).count()

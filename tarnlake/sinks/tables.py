@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tarnlake.operators.keys import assert_key
 
+MARK = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Versions whose write finished, by the job's success marker."""
@@ -37,9 +39,30 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(here)
 
 
-def overwrite(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> int:
+def _publish(spark: SparkSession, version: str) -> None:
+    """Set the success marker that makes a written version the current one."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    mark = hadoop.Path(version, "_SUCCESS")
+    mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(mark, True).close()
+
+
+def remove_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` versions, and return their numbers. Readers of a version must be done with it."""
+    if keep < 1:
+        raise ValueError("the current version stays")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    gone = _versions(spark, path)[:-keep]
+    for number in gone:
+        old = hadoop.Path(f"{path.rstrip('/')}/v={number:08d}")
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+    return gone
+
+
+def overwrite(df: DataFrame, path: str, sort_by: Sequence[str] = (), keys: Sequence[str] = ()) -> int:
     """Write the next version of a table, its columns included, and return its rows.
 
+    With ``keys`` the written files are checked first: a version whose key is broken is never published.
+
     Readers keep the old version until the new one has its success marker, so a job
     may read the table it replaces. ``sort_by`` clusters rows inside files for
     min/max pruning.
@@ -49,7 +72,11 @@ def overwrite(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> int:
     target = f"{path.rstrip('/')}/v={(done[-1] + 1 if done else 1):08d}"
     seen = Observation()
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
+    writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(MARK, str(not keys).lower())
+    writer.parquet(target)
+    if keys:
+        assert_key(spark.read.schema(df.schema).parquet(target), keys)
+        _publish(spark, target)
     return int(seen.get["rows"])
 
 
@@ -60,8 +87,9 @@ def append(df: DataFrame, path: str) -> int:
 
 
 def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> int:
-    """Append only rows whose key the table lacks; running twice adds nothing."""
+    """Append only rows whose key the table lacks, one of each key; running twice adds nothing."""
     spark = df.sparkSession
+    df = df.dropDuplicates(list(keys))
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(hadoop):
@@ -71,10 +99,8 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> int:
 
 def replace_feature_table(df: DataFrame, path: str, keys: Sequence[str]) -> int:
     """Replace a feature table from a query; its declared key is checked on what was
-    written, before the result is handed on."""
-    rows = overwrite(df, path)
-    assert_key(read_current(df.sparkSession, path), keys)
-    return rows
+    written, before readers see it."""
+    return overwrite(df, path, keys=keys)
 
 
 def overwrite_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:

@@ -24,15 +24,30 @@ def snapshot_tables(files: DataFrame) -> DataFrame:
     snapshot written by several tasks is a folder of part files; its own name counts."""
     parts = F.split(F.regexp_replace("path", r"\.parquet/part-[^/]*$", ".parquet"), "/")
     return files.select(
-        F.lower(F.concat_ws("_", F.element_at(parts, -3), F.element_at(parts, -2))).alias("table_name"),
+        "path", F.lower(F.concat_ws("_", F.element_at(parts, -3), F.element_at(parts, -2))).alias("table_name"),
         F.regexp_replace("path", r"\.parquet/part-[^/]*$", ".parquet").alias("snapshot"),
         "modificationTime",
     )
 
 
+def unfinished(spark: SparkSession, found: DataFrame) -> list[str]:
+    """Snapshot folders whose writer has not set its success marker; only folder names reach the driver."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for r in found.filter("path <> snapshot").select("snapshot").distinct().toLocalIterator():
+        mark = hadoop.Path(r["snapshot"], "_SUCCESS")
+        if not mark.getFileSystem(conf).exists(mark):
+            out.append(r["snapshot"])
+    return out
+
+
 def latest_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """Newest snapshot per table by modification time (the name breaks ties)."""
+    """Newest finished snapshot per table by modification time (the name breaks ties)."""
     found = snapshot_tables(list_files(spark, root))
+    open_ones = unfinished(spark, found)
+    if open_ones:
+        found = found.join(spark.createDataFrame([(s,) for s in open_ones], "snapshot string"), "snapshot", "left_anti")
     newest = F.max_by("snapshot", F.struct("modificationTime", "snapshot"))
     return found.groupBy("table_name").agg(newest.alias("snapshot"))
 

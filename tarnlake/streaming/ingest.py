@@ -12,7 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_PROGRESS_KEPT = 100_000  # micro-batches whose counts are kept for the run's total
+
+RUN = "IngestRunID"  # raw tables are partitioned by it
+POLL = 0.2  # seconds between two looks at a stream's progress
 
 
 @dataclass(frozen=True)
@@ -41,22 +43,33 @@ def with_ingestion(df: DataFrame, run_id: str, extra: Mapping[str, Column] | Non
 
 
 def _drain(stream: DataFrame, checkpoint: str, out: str, run_id: str) -> IngestStats:
-    spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", _PROGRESS_KEPT)
     query = (
         stream.observe("ingest", F.count(F.lit(1)).alias("rows"))
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .option("path", out)
+        .partitionBy(*([RUN] if RUN in stream.columns else []))
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    # File sinks report no output rows; the observation counts what went through.
-    progress = [p for p in query.recentProgress if p["numInputRows"] > 0]
-    written = sum(int(p["observedMetrics"]["ingest"]["rows"]) for p in progress)
-    return IngestStats(sum(p["numInputRows"] for p in progress), written, len(progress), run_id)
+    # Spark keeps the newest progress reports only, so they are added up while the query runs.
+    seen: dict[int, tuple[int, int]] = {}
+    last = -1
+    done = False
+    while not done:
+        done = query.awaitTermination(POLL)
+        for p in query.recentProgress:
+            last = max(last, p["batchId"])
+            if p["numInputRows"] > 0:
+                # File sinks report no output rows; the observation counts what went through.
+                seen[p["batchId"]] = (p["numInputRows"], int(p["observedMetrics"]["ingest"]["rows"]))
+    read, written = (sum(v[k] for v in seen.values()) for k in (0, 1))
+    if seen and len(seen) < last - min(seen) and RUN in stream.columns:
+        # Reports were dropped between two looks: count what this run has stored.
+        written = this_run(stream.sparkSession.read.parquet(out), run_id).count()
+        read = max(read, written)
+    return IngestStats(read, written, len(seen), run_id)
 
 
 def ingest(
@@ -125,10 +138,5 @@ def stream_table(
 
 
 def this_run(table: DataFrame, run_id: str) -> DataFrame:
-    """Rows one run brought in."""
+    """Rows one run brought in; other runs' files are not read."""
     return table.filter(F.col("IngestRunID") == run_id)
-
-
-def since(table: DataFrame, start) -> DataFrame:
-    """Rows ingested from a point in time on."""
-    return table.filter(F.col("IngestionDate") >= F.lit(start))

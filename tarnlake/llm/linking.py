@@ -2,13 +2,15 @@
 
 Postings are rows (token, node): two nodes may be similar only if they share tokens. A few thousand near copies share
 most of theirs, so their pairs are never listed. First each node is compared with one pivot only, the most
-popular node it shares tokens with; what links forms groups. Then each node is held against whole groups: the union
-of a group's tokens bounds how much the node can share with any member, and only groups that reach the bound are
-opened. Nodes already in one group are never compared again, which loses no connection between groups.
+popular node it shares tokens with; what links forms groups. Only nodes of different groups are compared from then on,
+which loses no connection. Where many of them meet at one key, they are compared in blocks of bounded size inside
+tasks, and nothing but links leaves the task.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -63,35 +65,155 @@ def shared_postings(postings: DataFrame) -> DataFrame:
     return postings.withColumn("n", F.count("*").over(W.Window.partitionBy("token"))).filter("n > 1")
 
 
-def link_groups(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, root) of the groups of nodes that are connected by verified similarity; nodes without a link are absent.
+def differ(a: Column, b: Column, percent: int) -> Column:
+    """Most tokens in which similar sets of these sizes can differ."""
+    return F.floor((a + b) * (100 - percent) / (100 + percent))
 
-    postings: stored rows (token, node, need, n) from ``shared_postings``; sets: stored rows (node, tokens). A pair
-    counts as a candidate if it shares at least the larger ``need`` of the two.
+
+def pivot_links(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between nodes and the most popular node they share most tokens with.
+
+    postings: stored rows (token, node, m, free, size, n); sets: stored rows (node, tokens). Of the m tokens that a node has
+    of one kind, each token in which two sets differ spoils one at most; ``free`` of a node's m are not in the postings. So
+    similar nodes share m less the most they can differ, but for the smaller ``free``. Postings without such a bound have m = 1
+    and size 0: one shared token makes a candidate.
     """
-    # One pivot for each node.
     weight = postings.groupBy("node").agg(F.sum("n").alias("weight"))
     weighed = stored(postings.join(weight, "node"), "weighed")
-    pivots = weighed.groupBy("token").agg(F.max(F.struct("weight", "node")).alias("p"))
-    chosen = weighed.join(pivots, "token").filter(F.col("p.node") != F.col("node")).groupBy("node", F.col("p").alias("p")).agg(
-        F.count("*").alias("shared"), F.max("need").alias("need")).filter("shared >= need")
+    pivots = weighed.groupBy("token").agg(F.max(F.struct("weight", "node", "size", "free")).alias("p"))
+    chosen = weighed.join(pivots, "token").filter(F.col("p.node") != F.col("node")).groupBy("node", "m", "size", "free", "p").agg(
+        F.count("*").alias("shared")).filter(
+        F.col("shared") + F.least("free", "p.free") >= F.col("m") - differ(F.col("size"), F.col("p.size"), percent))
     pairs = chosen.groupBy("node").agg(F.max(F.struct("shared", "p")).alias("best")).select(
         F.col("node").alias("a"), F.col("best.p.node").alias("b"))
-    links = stored(verified(pairs, sets, percent), "pivot-links")
-    groups = components(links, "pivot-groups")
+    return stored(verified(pairs, sets, percent), "pivot-links")
+
 
-    # Token-group matrix: which tokens occur in each group, kept as rows.
-    placed = postings.join(groups, "node", "left").select("token", "node", "need", F.coalesce("root", "node").alias("root"))
-    placed = stored(placed, "placed")
-    sizes = placed.select("root", "node").distinct().groupBy("root").agg(F.count("*").alias("members"))
-    placed = placed.join(sizes, "root")
-    matrix = placed.groupBy("token", "root").agg(F.first("members").alias("members"), F.max("need").alias("group_need")).select(
-        "token", F.col("root").alias("group"), F.col("members").alias("group_members"), "group_need")
+# Comparisons at one key beyond which they are made in blocks, and nodes on each side of a block.
+MANY, BLOCK = 1024, 256
+# Tokens up to which a group's union is kept as one array.
+SHORT = 2000
+
+
+def cross_links(asks: DataFrame, answers: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between nodes that meet at a key and are in different groups; both sides: (key, node, root).
+
+    Keys with few comparisons list their pairs. The others deal both sides into blocks by a hash of the node; a task
+    compares one block with another and returns no more links than it takes to connect the groups in them.
+    """
+    meet = asks.groupBy("key").agg(F.count("*").alias("na")).join(answers.groupBy("key").agg(F.count("*").alias("nb")), "key")
+    few, many = meet.filter(F.col("na") * F.col("nb") <= MANY), stored(meet.filter(F.col("na") * F.col("nb") > MANY), "many")
+    left = asks.join(few.select("key"), "key").select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
+    right = answers.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
+    listed = verified(left.join(right, "key").filter("ra <> rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets, percent)
+    if many.isEmpty():
+        return listed
+    dealt = many.select("key", F.ceil(F.col("na") / BLOCK).cast("int").alias("qa"), F.ceil(F.col("nb") / BLOCK).cast("int").alias("qb"))
+
+    def side(rows: DataFrame, own: str, other: str, names: tuple[str, str]) -> DataFrame:
+        block = F.pmod(F.xxhash64("node", F.lit(1)), F.col(own)).cast("int")
+        dealt_rows = rows.join(dealt, "key").select(
+            "key", "node", F.xxhash64("root").alias("root"), block.alias(names[0]),
+            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(names[1])).join(sets, "node")
+        # New names for the columns, as both sides come from the same tables.
+        return dealt_rows.select(*(F.col(c).alias(c) for c in dealt_rows.columns))
+
+    def compare(one: pa.Table, two: pa.Table) -> pa.Table:
+        found = matches(one.column("tokens"), one.column("root").to_numpy(), two.column("tokens"), two.column("root").to_numpy(), percent)
+        a, b = (np.array([f[k] for f in found], dtype=np.int64) for k in (0, 1))
+        return pa.Table.from_arrays([one.column("node").take(pa.array(a)), two.column("node").take(pa.array(b))], names=["a", "b"])
+
+    node = next(f for f in sets.schema.fields if f.name == "node").dataType.simpleString()
+    blocks = side(asks, "qa", "qb", ("x", "y")).groupBy("key", "x", "y").cogroup(
+        side(answers, "qb", "qa", ("y", "x")).groupBy("key", "x", "y")).applyInArrow(compare, f"a {node}, b {node}")
+    return listed.unionByName(blocks)
+
+
+def matches(one: pa.ChunkedArray, roots: np.ndarray, two: pa.ChunkedArray, others: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Similar sets of two blocks, as many pairs as connect the roots they are under; connected ones are not compared again."""
+    if not len(one) or not len(two):
+        return []
+    first, second = one.combine_chunks(), two.combine_chunks()
+    values, place = np.unique(second.flatten().to_numpy(), return_inverse=True)
+    ends = second.offsets.to_numpy() - second.offsets[0].as_py()
+    sizes, out, roots, others = np.diff(ends), [], roots.copy(), others.copy()
+    mine, at = first.flatten().to_numpy(), first.offsets.to_numpy() - first.offsets[0].as_py()
+    for i in range(len(first)):
+        tokens = mine[at[i] : at[i + 1]]
+        near = (sizes * 100 >= len(tokens) * percent) & (len(tokens) * 100 >= sizes * percent) & (others != roots[i])
+        if not near.any():
+            continue
+        where = np.searchsorted(values, tokens)
+        where = where[where < len(values)]
+        mark = np.zeros(len(values), np.int32)
+        mark[where[np.isin(values[where], tokens)]] = 1
+        both = np.add.reduceat(mark[place], ends[:-1])
+        hit = np.flatnonzero(near & (both > 0) & (both * 100 >= (len(tokens) + sizes - both) * percent))
+        for k in hit:
+            old, new = others[k], roots[i]
+            if old != new:
+                out.append((i, int(k)))
+                others[others == old] = new
+                roots[roots == old] = new
+    return out
+
+
+def link_by_matrix(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of groups of similar nodes by a token-group matrix; nodes without a link are absent.
+
+    postings: stored rows (token, node, m, free, size, all, guest, n); ``all``: the node's tokens of this kind, shared or not;
+    ``guest``: the node has tokens of another kind too, where all guests meet each other.
+    """
+    links = pivot_links(postings, sets, percent)
+    groups = components(links, "pivot-groups")
+    # A node that must share T of its tokens shares one of the rarest all - T + 1, and so does its partner.
+    of = W.Window.partitionBy("node", "m")
+    must = F.greatest(F.lit(1), F.col("m") - differ(F.col("size"), F.floor(F.col("size") * 100 / percent), percent) - F.col("free"))
+    placed = postings.withColumns({
+        "rank": F.row_number().over(of.orderBy("n", "token")) + F.col("all") - F.count("*").over(of)}).withColumn(
+        "early", F.col("rank") <= F.col("all") - must + 1)
+    placed = stored(placed.join(groups, "node", "left").select(
+        "token", "node", "m", "free", "size", "guest", "early", F.coalesce("root", "node").alias("root")), "placed")
+    members = stored(placed.select("root", "node", "size").distinct(), "members")
+    sizes = members.groupBy("root").agg(F.count("*").alias("members"), F.max("size").alias("largest"))
+    placed = stored(placed.join(sizes, "root"), "placed")
+
+    # Token-group matrix: the union of each group's tokens, as rows.
+    matrix = stored(placed.groupBy("token", "m", F.col("root").alias("group")).agg(
+        F.max("early").alias("early"), F.max(F.col("early") & ~F.col("guest")).alias("host"), F.first("members").alias("group_members"), F.first("largest").alias("group_largest")), "matrix")
     # The smaller group's nodes ask the larger; equal ones in one direction.
     asks = F.struct("members", "root") < F.struct(F.col("group_members").alias("members"), F.col("group").alias("root"))
-    overlap = placed.join(matrix, "token").filter(asks).groupBy("node", "group").agg(
-        F.count("*").alias("shared"), F.max("need").alias("need"))
-    opened = stored(overlap.filter("shared >= need").select(F.col("node").alias("a"), "group"), "opened")
-    members = placed.select(F.col("root").alias("group"), F.col("node").alias("b")).distinct()
-    more = stored(verified(opened.join(members, "group").select("a", "b"), sets, percent), "group-links")
+    columns = ["node", "m", "free", "size", "root", "group", "group_largest"]
+    asked = stored(placed.filter("early").join(matrix.filter("early").drop("early", "m"), "token").filter(asks & (~F.col("guest") | F.col("host"))).select(*columns).distinct(), "asked")
+    # The overlap with short unions is counted on the rows as they are, with long ones token by token.
+    widths = matrix.groupBy("group", "m").agg(F.count("*").alias("width"))
+    short = matrix.join(widths.filter(F.col("width") <= SHORT), ["group", "m"]).groupBy("group", "m").agg(F.collect_list("token").alias("union"))
+    own = placed.groupBy("node", "m").agg(F.collect_list("token").alias("own"))
+    by_row = asked.join(short, ["group", "m"]).join(own, ["node", "m"]).select(*columns, F.size(F.array_intersect("own", "union")).cast("long").alias("shared"))
+    by_token = asked.join(widths.filter(F.col("width") > SHORT).select("group", "m"), ["group", "m"]).join(
+        placed.select("node", "m", "token"), ["node", "m"]).join(
+        matrix.select("token", "group"), ["token", "group"], "left_semi").groupBy(*columns).agg(F.count("*").alias("shared"))
+    overlap = by_row.unionByName(by_token)
+    partner = F.least("group_largest", F.floor(F.col("size") * 100 / percent))
+    opened = stored(overlap.filter(
+        F.col("shared") + F.col("free") >= F.col("m") - differ(F.col("size"), partner, percent)).select(
+        F.col("group").alias("key"), "node", "root").distinct(), "opened")
+    inside = members.join(opened.select(F.col("key").alias("root")).distinct(), "root", "left_semi").select(
+        F.col("root").alias("key"), "node", "root")
+    more = stored(cross_links(opened, inside, sets, percent), "group-links")
+    return components(links.unionByName(more), "groups")
+
+
+def link_by_buckets(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of groups of similar nodes among those that share a bucket; nodes without a link are absent.
+
+    postings: stored rows (token, node, n), one for each bucket a node is in.
+    """
+    bounds = {"m": F.lit(1), "free": F.lit(0), "size": F.lit(0).cast("long")}
+    links = pivot_links(postings.withColumns(bounds), sets, percent)
+    placed = stored(postings.join(components(links, "pivot-groups"), "node", "left").select(
+        F.col("token").alias("key"), "node", F.coalesce("root", "node").alias("root")), "placed")
+    mixed = placed.groupBy("key").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("key")
+    placed = stored(placed.join(mixed, "key", "left_semi"), "mixed")
+    more = stored(cross_links(placed, placed, sets, percent), "bucket-links")
     return components(links.unionByName(more), "groups")

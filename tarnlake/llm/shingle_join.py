@@ -1,8 +1,8 @@
 """N-gram Jaccard self-join of documents by a token-group matrix.
 
 A document is the set of its distinct runs of three words. Documents of equal sets are one node. For sets of nearby
-sizes the hashes are dealt into m blocks, where m exceeds by two the most hashes in which two similar sets can
-differ; a difference spoils one block at most, so two blocks at least are equal. Blocks are the tokens of the matrix:
+sizes the hashes are dealt into m blocks, where m exceeds the most hashes in which two similar sets can
+differ; a difference spoils one block at most, so at least the surplus is equal. Blocks are the tokens of the matrix:
 documents that share enough of them are put into groups, a group keeps the union of its tokens, and a
 document is compared with a group's members only if its overlap with that union reaches the bound (``linking``).
 Shared runs alone, as of a passage found in many documents, fill hardly any block and cost nothing.
@@ -25,10 +25,9 @@ from pyspark.sql import functions as F
 
 from tarnlake.llm import textvec
 from tarnlake.llm.common import need, small, stored
-from tarnlake.llm.linking import link_groups, shared_postings
+from tarnlake.llm.linking import differ, link_by_matrix, shared_postings
 
 WIDTH = 1.5
-SPARE = 2
 BROADCAST_ROWS = 1_000_000
 
 
@@ -40,66 +39,63 @@ def class_ends(limit: int, start: int) -> list[int]:
     return ends
 
 
-def blocks_of(hashes: np.ndarray, percent: int) -> tuple[list[int], int]:
-    """Block tokens of one set, and how many of them a similar set shares at least."""
-    size, tokens, needed = len(hashes), [], SPARE
+def blocks_of(hashes: np.ndarray, percent: int) -> list[tuple[int, int, list[int]]]:
+    """For each size class a set is in: (blocks m, empty blocks, block tokens)."""
+    size, out = len(hashes), []
     # Below this size no two different sets are similar.
-    floor = 100 // (100 - percent) if percent < 100 else size + 1
+    floor = 100 // (100 - percent) if percent < 100 else size + 2
     if size + 1 < floor:
-        return tokens, needed
+        return out
     ends = class_ends(size * 2, max(1, floor))
     own = int(np.searchsorted(ends, size))
-    classes = [own]
     # A similar set may be as large as the next class's first size.
-    if size * 100 >= (ends[own] + 1) * percent:
-        classes.append(own + 1)
+    classes = [own, own + 1] if size * 100 >= (ends[own] + 1) * percent else [own]
     for c in classes:
-        # Most hashes in which two similar sets, none larger than the class allows, can differ.
-        differ = 2 * ends[c] * (100 - percent) // (100 + percent)
-        m = differ + SPARE
+        # Most hashes in which two similar sets, none larger than the class allows, can differ; and some to spare.
+        most = 2 * ends[c] * (100 - percent) // (100 + percent)
+        m = most + max(2, most // 2)
         salt = np.uint64(c + 1)
         mixed = textvec.mix(hashes + salt)
         with np.errstate(over="ignore"):
-            where = (mixed >> np.uint64(32)) % np.uint64(m)
+            where = ((mixed >> np.uint64(32)) % np.uint64(m)).astype(np.int64)
             total = np.zeros(m, np.uint64)
-            np.add.at(total, where.astype(np.int64), textvec.mix(mixed))
-            full = np.bincount(where.astype(np.int64), minlength=m) > 0
+            np.add.at(total, where, textvec.mix(mixed))
+            full = np.bincount(where, minlength=m) > 0
             marks = textvec.mix(total + textvec.mix(np.arange(m, dtype=np.uint64) * np.uint64(1 << 20) + salt))
-        tokens += marks[full].view(np.int64).tolist()
-        empty = np.flatnonzero(~full)
-        if len(empty):
-            # A block empty in both is equal too. One may be missing from the count; two or more are named in pairs.
-            needed = max(1, SPARE - len(empty))
-            i, j = np.triu_indices(len(empty), 1)
-            with np.errstate(over="ignore"):
+            tokens = marks[full].view(np.int64).tolist()
+            empty = np.flatnonzero(~full)
+            if len(empty) > 1:
+                # Blocks empty in both are equal too. If all that two sets share is empty, they share two such: name the pairs.
+                i, j = np.triu_indices(len(empty), 1)
                 names = (empty[i].astype(np.uint64) << np.uint64(32)) + empty[j].astype(np.uint64)
                 tokens += textvec.mix(textvec.mix(names) + salt * np.uint64(7919)).view(np.int64).tolist()
-    return tokens, needed
+        out.append((m, len(empty), tokens))
+    return out
 
 
 def signatures(docs: DataFrame, percent: int, size: int, text: str) -> DataFrame:
-    """doc_id, n, f1, f2 (two hashes of the whole set), need and block tokens of every document."""
+    """doc_id, n, f1, f2 (two hashes of the whole set) and the blocks of every document."""
+
+    kind = pa.list_(pa.struct([("m", pa.int32()), ("free", pa.int32()), ("tokens", pa.list_(pa.int64()))]))
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in textvec.pieces(batch.column(1)):
                 n = len(offsets) - 1
                 h, ends = textvec.sets(*textvec.shingles(*textvec.words(data, offsets), size), n)
-                tokens, needs, f1, f2 = [], [], [], []
+                found, f1, f2 = [], [], []
                 with np.errstate(over="ignore"):
                     for a, b in zip(ends[:-1], ends[1:]):
-                        got, needed = blocks_of(h[a:b], percent)
-                        tokens.append(got)
-                        needs.append(needed)
+                        found.append([{"m": m, "free": e, "tokens": t} for m, e, t in blocks_of(h[a:b], percent)])
                         f1.append(textvec.mix(h[a:b]).sum(dtype=np.uint64))
                         f2.append(textvec.mix(h[a:b] ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0)[rows], pa.array(np.diff(ends)), pa.array(np.array(f1, np.uint64).view(np.int64)),
-                    pa.array(np.array(f2, np.uint64).view(np.int64)), pa.array(needs, pa.int32()),
-                    pa.array(tokens, pa.list_(pa.int64()))], names=["doc_id", "n", "f1", "f2", "need", "tokens"])
+                    pa.array(np.array(f2, np.uint64).view(np.int64)), pa.array(found, kind)],
+                    names=["doc_id", "n", "f1", "f2", "blocks"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("t")).mapInArrow(
-        signed, "doc_id long, n long, f1 long, f2 long, need int, tokens array<long>")
+        signed, "doc_id long, n long, f1 long, f2 long, blocks array<struct<m:int,free:int,tokens:array<long>>>")
 
 
 def token_sets(docs: DataFrame, size: int, text: str) -> DataFrame:
@@ -123,13 +119,17 @@ def join_documents(docs: DataFrame, percent: int = 90, size: int = 3, text: str
     signed = stored(signatures(docs, percent, size, text), "signatures")
     # Equal sets meet here once per task, however many copies there are.
     nodes = stored(signed.filter("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(
-        F.min("doc_id").alias("node"), F.first("tokens").alias("tokens"), F.first("need").alias("need")), "nodes")
-    postings = stored(shared_postings(nodes.select("node", "need", F.explode("tokens").alias("token"))), "postings")
-    wanted = stored(postings.groupBy("node").agg(F.count("*").alias("c"), F.max("need").alias("need")).filter("c >= need").select("node"), "candidates")
+        F.min("doc_id").alias("node"), F.first("blocks").alias("blocks")), "nodes")
+    rows = nodes.select("node", F.col("n").alias("size"), F.posexplode("blocks").alias("k", "b")).select(
+        "node", "size", (F.col("k") > 0).alias("guest"), "b.m", "b.free", F.size("b.tokens").alias("all"), F.explode("b.tokens").alias("token"))
+    postings = stored(shared_postings(rows), "postings")
+    # A document that shares too little even with the largest set it could be similar to is out.
+    enough = F.col("c") + F.col("free") >= F.col("m") - differ(F.col("size"), F.floor(F.col("size") * 100 / percent), percent)
+    wanted = stored(postings.groupBy("node", "m", "free", "size").agg(F.count("*").alias("c")).filter(enough).select("node").distinct(), "candidates")
     postings = stored(postings.join(wanted, "node", "left_semi"), "postings")
     chosen = docs.join(small(wanted.withColumnRenamed("node", "doc_id"), BROADCAST_ROWS), "doc_id", "left_semi")
     sets = stored(token_sets(chosen, size, text).dropDuplicates(["node", "tokens"]), "sets")
-    groups = link_groups(postings, sets, percent)
+    groups = link_by_matrix(postings, sets, percent)
     roots = nodes.select("n", "f1", "f2", "node").join(groups, "node", "left").select(
         "n", "f1", "f2", F.coalesce("root", "node").alias("root"))
     return signed.select("doc_id", "n", "f1", "f2").join(roots, ["n", "f1", "f2"], "left").select(

@@ -84,7 +84,8 @@ SERIES = {
 }
 FORECAST = """
     SELECT Territory_SK, Category, date, floor(CASE k WHEN 1 THEN a + b * base WHEN 2 THEN a + b * (a + b * base)
-      ELSE a + b * (a + b * (a + b * base)) END * 100 + 0.5) / 100 AS prediction
+      WHEN 3 THEN a + b * (a + b * (a + b * base))
+      ELSE list_sum(list_transform(range(k), lambda i: a * pow(b, i))) + pow(b, k) * base END * 100 + 0.5) / 100 AS prediction
     FROM (SELECT w.*, d.qty AS base FROM (
         SELECT f.*, g.date, ceil(date_diff('month', last, g.date) / 12.0)::INT AS k
         FROM season_fits f, (SELECT unnest(generate_series(DATE '2001-01-01', DATE '2003-12-01', INTERVAL 1 MONTH))::DATE AS date) AS g

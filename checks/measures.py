@@ -23,6 +23,13 @@ SQL = {
         FROM fact_sales_order_detail s JOIN fact_sales_order o ON s.OrderID = o.OrderID
           JOIN product_levels p ON s.Product_SK = p.Product_SK JOIN dim_date ON o.OrderDate_SK = DateKey
           JOIN dim_location l ON o.Location_SK = l.Location_SK""",
+    "sold_products": """
+        SELECT OrderQty, LineTotal, OrderQty * StandardCost AS LineCost, Category, SubCategory, ProductName
+        FROM fact_sales_order_detail s JOIN product_levels p ON s.Product_SK = p.Product_SK""",
+    "sold_places": """
+        SELECT OrderQty, CountryName AS Country, StateProvinceName AS StateProvince, City
+        FROM fact_sales_order_detail s JOIN fact_sales_order o ON s.OrderID = o.OrderID
+          JOIN dim_location l ON o.Location_SK = l.Location_SK""",
     "months": """
         SELECT v.MonthStart, SoldVolume, SubTotalValue,
           (SELECT p.SoldVolume FROM volumes p WHERE p.MonthStart = v.MonthStart - INTERVAL 1 MONTH) AS SoldVolumePreviousMonth,
@@ -39,9 +46,9 @@ _LINES = (
 )
 
 
-def _rollup(levels: str) -> str:
+def _rollup(levels: str, source: str = "sold") -> str:
     return f"""SELECT {levels}, sum(OrderQty)::BIGINT AS SoldVolume, CAST(grouping_id({levels}) AS INT) AS Level
-               FROM sold GROUP BY ROLLUP ({levels})"""
+               FROM {source} GROUP BY ROLLUP ({levels})"""
 
 
 def register(reg: Registry) -> None:
@@ -66,7 +73,7 @@ def register(reg: Registry) -> None:
                 FROM fact_purchases JOIN dim_date ON OrderDate_SK = DateKey GROUP BY ALL) AS g GROUP BY ALL) AS p
               ON s.Year = p.Year AND s.Month = p.Month""")
     add("i05_production_cost", lambda t: ms.line_measures(ms.sold_lines(t), "ProductName"),
-        f"SELECT ProductName, {_LINES} FROM sold GROUP BY ALL")
+        f"SELECT ProductName, {_LINES} FROM sold_products GROUP BY ALL")
     add("i06_previous_month", ms.monthly_sales,
         f"""SELECT MonthStart, SoldVolume, {m('SubTotalValue')}, SoldVolumePreviousMonth,
               {m('SubTotalValuePreviousMonth')} FROM months""")
@@ -76,10 +83,10 @@ def register(reg: Registry) -> None:
     add("i08_drill_table", ms.drill_table,
         f"""SELECT FullDate, Quarter, Category, SubCategory, ProductName, Country, StateProvince, City, {_LINES}
             FROM sold GROUP BY ALL""")
-    add("i09_product_drill", ms.product_drill, _rollup("Category, SubCategory, ProductName"))
+    add("i09_product_drill", ms.product_drill, _rollup("Category, SubCategory, ProductName", "sold_products"))
     add("i09_date_drill", ms.date_drill, _rollup("Year, Quarter, Month, Day"))
-    add("i10_place_drill", ms.place_drill, _rollup("Country, StateProvince, City"))
-    add("i11_subcategory_table", ms.subcategory_table, f"SELECT SubCategory, {_LINES} FROM sold GROUP BY ALL")
+    add("i10_place_drill", ms.place_drill, _rollup("Country, StateProvince, City", "sold_places"))
+    add("i11_subcategory_table", ms.subcategory_table, f"SELECT SubCategory, {_LINES} FROM sold_products GROUP BY ALL")
     add("i12_month_kpi", ms.month_kpi,
         f"""SELECT MonthStart, SoldVolume, SoldVolumePreviousMonth, {m('SubTotalValue')}, {m('SubTotalValuePreviousMonth')},
               SoldVolume - SoldVolumePreviousMonth AS VolumeChange,

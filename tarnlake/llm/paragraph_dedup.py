@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.llm import textvec
 from tarnlake.llm.common import need, stored
-from tarnlake.llm.linking import link_groups, shared_postings
+from tarnlake.llm.linking import link_by_buckets, shared_postings
 
 
 def tune(similarity: float, recall: float, hashes: int = 96) -> tuple[int, int]:
@@ -98,11 +98,11 @@ def repeated_paragraphs(
     # Equal paragraphs meet here once per task, however many copies there are.
     nodes = stored(signed.groupBy("n", "f1", "f2").agg(
         F.min(place).alias("node"), F.count("*").alias("copies"), F.first("tokens").alias("tokens")), "paragraph-nodes")
-    postings = stored(shared_postings(nodes.select("node", F.explode(F.array_distinct("tokens")).alias("token"), F.lit(1).alias("need"))), "postings")
+    postings = stored(shared_postings(nodes.select("node", F.explode(F.array_distinct("tokens")).alias("token"))), "postings")
     wanted = stored(postings.select("node.doc_id").distinct(), "candidates")
     sets = signatures(docs.join(wanted, "doc_id", "left_semi"), min_words, size, bands, rows, text, seed, True)
     sets = sets.select(place.alias("node"), "tokens").join(postings.select("node").distinct(), "node", "left_semi")
-    groups = link_groups(postings, stored(sets.dropDuplicates(["node", "tokens"]), "sets"), percent)
+    groups = link_by_buckets(postings, stored(sets.dropDuplicates(["node", "tokens"]), "sets"), percent)
     placed = stored(nodes.select("n", "f1", "f2", "node", "copies").join(groups, "node", "left").select(
         "n", "f1", "f2", "copies", F.coalesce("root", "node").alias("root")), "placed")
     sizes = placed.groupBy("root").agg(F.sum("copies").alias("cluster_size")).filter("cluster_size > 1")

@@ -17,6 +17,7 @@ ignored, and an empty table gives an empty one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,17 @@ WIDTH = 1.5
 BROADCAST_ROWS = 1_000_000
 
 
-def class_ends(limit: int, start: int) -> list[int]:
-    """Upper ends of the size classes up to a size."""
-    ends = [start]
-    while ends[-1] < limit:
-        ends.append(max(ends[-1] + 1, int(ends[-1] * WIDTH)))
-    return ends
+@cache
+def block_numbers(percent: int, classes: int, start: int) -> tuple[tuple[int, int], ...]:
+    """(upper end, blocks m) of each size class. m exceeds the most hashes in which two similar sets of the class can differ,
+    and names the class, so no two classes have the same."""
+    out: list[tuple[int, int]] = []
+    end = start
+    for _ in range(classes):
+        most = 2 * end * (100 - percent) // (100 + percent)
+        out.append((end, max(most + max(2, most // 2), out[-1][1] + 1 if out else 0)))
+        end = max(end + 1, int(end * WIDTH))
+    return tuple(out)
 
 
 def blocks_of(hashes: np.ndarray, percent: int) -> list[tuple[int, int, list[int]]]:
@@ -46,14 +52,12 @@ def blocks_of(hashes: np.ndarray, percent: int) -> list[tuple[int, int, list[int
     floor = 100 // (100 - percent) if percent < 100 else size + 2
     if size + 1 < floor:
         return out
-    ends = class_ends(size * 2, max(1, floor))
-    own = int(np.searchsorted(ends, size))
+    table = block_numbers(percent, 64, max(1, floor))
+    own = next(c for c, (end, _) in enumerate(table) if size <= end)
     # A similar set may be as large as the next class's first size.
-    classes = [own, own + 1] if size * 100 >= (ends[own] + 1) * percent else [own]
+    classes = [own, own + 1] if size * 100 >= (table[own][0] + 1) * percent else [own]
     for c in classes:
-        # Most hashes in which two similar sets, none larger than the class allows, can differ; and some to spare.
-        most = 2 * ends[c] * (100 - percent) // (100 + percent)
-        m = most + max(2, most // 2)
+        m = table[c][1]
         salt = np.uint64(c + 1)
         mixed = textvec.mix(hashes + salt)
         with np.errstate(over="ignore"):

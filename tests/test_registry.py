@@ -19,7 +19,8 @@ SOME = (
     "g08_product_region_daily", "g10_customer_classification", "h02_duplicate_checks", "h08_run_state", "i04_total_profit",
     "i09_date_drill", "j08_seasonal_forecast",
 )
-NAMES = list(entry_points.oracle_sql()) if os.environ.get("TARNLAKE_ALL") else SOME
+OWN = re.compile(r"[a-j]\d\d_")  # queries of the inventory; others come and go with their subpackage
+NAMES = [n for n in entry_points.oracle_sql() if OWN.match(n)] if os.environ.get("TARNLAKE_ALL") else SOME
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="test tables absent")
 
 
@@ -50,12 +51,12 @@ def test_entry_runs(spark):
 def test_every_sql_has_a_query():
     queries, oracles = entry_points.queries(), entry_points.oracle_sql()
     assert set(oracles) <= set(queries)
-    assert set(queries) - set(oracles) == {
+    assert {n for n in queries if OWN.match(n)} - set(oracles) == {
         "j02_forest_predictions", "j03_model_scores", "j04_confusion_matrix", "j05_feature_importance"}
 
 
 def test_every_operator_has_a_query():
-    have = {re.match(r"[a-j]\d\d", n).group() for n in entry_points.queries()}
+    have = {n[:3] for n in entry_points.queries() if OWN.match(n)}
     counts = {"a": range(1, 18), "b": range(1, 10), "c": range(0, 32), "d": range(1, 9), "e": range(1, 4),
               "f": range(1, 19), "g": range(1, 18), "h": range(1, 17), "i": range(1, 13), "j": range(1, 9)}
     assert have == {f"{k}{n:02d}" for k, ns in counts.items() for n in ns}

@@ -53,7 +53,7 @@ class Model:
     weights: np.ndarray
 
     def posteriors(self, x: np.ndarray) -> np.ndarray:
-        z = ((x - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1]
+        z = (((x - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1]).astype(np.float64)
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
@@ -111,9 +111,11 @@ def choose_words(labelled: DataFrame, domains: int, most: int = 256, least: floa
     return np.sort(order[best[order] >= least])
 
 
-def fit(labelled: DataFrame, domains: int, sample: int = 4000, rounds: int = 300) -> Model:
-    """labelled: stored rows (doc_id, domain from 0, t)."""
-    buckets = choose_words(labelled, domains)
+def fit(texts: DataFrame, known: DataFrame, domains: int, sample: int = 4000, rounds: int = 300) -> Model:
+    """texts: (doc_id, t); known: stored (doc_id, domain from 0)."""
+    buckets = choose_words(texts.join(small(known, BROADCAST_ROWS), "doc_id"), domains)
+    # The ids are chosen before any text moves; there are ``sample`` of them at most.
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "domain").limit(sample)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,8 +125,9 @@ def fit(labelled: DataFrame, domains: int, sample: int = 4000, rounds: int = 300
                     [batch.column(0)[at : at + len(x)], pa.array([r.tobytes() for r in x], pa.binary())], names=["domain", "x"])
                 at += len(x)
 
-    rows = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "domain", F.xxhash64("t")).limit(sample).select("domain", "t").mapInArrow(
-        made, "domain int, x binary").toArrow()
+    once = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "domain").agg(F.min("t").alias("t"))
+    rows = once.select("domain", "t").mapInArrow(made, "domain int, x binary").toArrow()
+    rows = rows.sort_by([("domain", "ascending"), ("x", "ascending")])
     y = rows["domain"].to_numpy()
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(len(y), SHAPES + len(buckets))
     if not len(y):
@@ -171,10 +174,10 @@ def mix(
     need(docs, "doc_id", text)
     need(labelled, "doc_id", "domain")
     domains, weights = len(targets), np.asarray(targets, float) / sum(targets)
-    known = small(stored(labelled.filter(F.col("doc_id").isNotNull() & F.col("domain").between(0, domains - 1)).select(
-        "doc_id", F.col("domain").cast("int").alias("domain")), "domain-labels"), BROADCAST_ROWS)
+    known = stored(labelled.filter(F.col("doc_id").isNotNull() & F.col("domain").between(0, domains - 1)).select(
+        "doc_id", F.col("domain").cast("int").alias("domain")), "domain-labels")
     texts = docs.select("doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
-    model = docs.sparkSession.sparkContext.broadcast(fit(texts.join(known, "doc_id"), domains, sample))
+    model = docs.sparkSession.sparkContext.broadcast(fit(texts, known, domains, sample))
 
     base = docs.drop(*({"n_tokens", "posteriors", "rate"} & set(docs.columns)))
     at = base.columns.index(text)

@@ -8,10 +8,11 @@ from checks.clean import cleaned, rows
 from checks.common import Registry, m, q, tidy
 from checks.mapping import CALENDAR, Tables, with_tables
 from tarnlake.operators.keys import key_report, number_rows, with_unknown
-from tarnlake.operators.merge import duplicate_keys, merge_counts, scd1_merge
+from tarnlake.operators.merge import ACTION, duplicate_keys, merge_counts, scd1_merge
 from tarnlake.plans import dims, facts
 from tarnlake.session import checkpointed, fresh_folder
 from tarnlake.sinks import tables as sink
+from tarnlake.sinks.buckets import read_buckets
 
 _NR = "'Not registered'"
 
@@ -235,7 +236,11 @@ def fact_load(spark, sf_dir: str, name: str):
     now = checkpointed(fact_rows(spark, sf_dir, name))
     keep, column, old = FACT_EARLIER[name]
     earlier = now.filter(keep).withColumn(column, F.expr(old).cast(now.schema[column].dataType))
-    return tidy(facts.load_fact(name, now, earlier))
+    # Through stored tables: the earlier load, then the upsert into its buckets.
+    path, keys = fresh_folder(spark, name), list(facts.FACT_KEYS[name])
+    facts.upsert_fact(name, earlier, path)
+    merged = facts.upsert_fact(name, now, path)
+    return tidy(read_buckets(spark, path).join(merged.select(*keys, ACTION), keys))
 
 
 def fact_load_sql(name: str, new: str, columns: list[str]) -> str:

@@ -25,7 +25,6 @@ from tarnlake.operators.quantiles import exact_quantiles
 from tarnlake.operators.timeseries import (
     dense_series,
     densify,
-    rank_within,
     series_window,
     trailing,
     trailing_days,
@@ -249,16 +248,11 @@ def inventory_product_daily(star: Star) -> DataFrame:
 def customer_daily(star: Star) -> DataFrame:
     """Customer days from the first sale to a year after the last, at most to the end
     of the data."""
-    daily = dated_lines(star).groupBy(CUSTOMER, DAY).agg(
+    # Stored once: the last day of all is looked up in it, and lines and orders must not be joined again for that.
+    daily = checkpointed(dated_lines(star).groupBy(CUSTOMER, DAY).agg(
         F.sum("OrderQty").cast("long").alias("DailyQty"), F.sum("LineTotal").alias("_amount")
-    )
-    end = (
-        star["fact_sales_order"]
-        .join(star["dim_date"].select("DateKey", "FullDate"), F.col("OrderDate_SK") == F.col("DateKey"))
-        .join(star["fact_sales_order_detail"].select("OrderID"), "OrderID", "left_semi")
-        .agg(F.max("FullDate"))
-        .scalar()
-    )
+    ))
+    end = daily.agg(F.max(DAY)).scalar()
     last = F.least(F.date_add(DAY, 365), end)
     # The type joins the days with sales and is carried along, not the dense rows.
     kinds = star["dim_customer"].select(CUSTOMER, "CustomerType")
@@ -302,7 +296,8 @@ def product_insights_daily(star: Star) -> DataFrame:
         F.coalesce(F.col("SalesLast7Days") - F.col("_prev7"), F.lit(0)).alias("Trend7"),
         days_since(DAY, "_last").alias("DaysSinceLastSale"),
     )
-    ranked = rank_within(days, DAY, "SalesLast30Days", "Ranking30Days")
+    # A day has at most one row for each product, so its ranking is bounded by the product dimension.
+    ranked = days.withColumn("Ranking30Days", F.rank().over(Window.partitionBy(DAY).orderBy(F.desc("SalesLast30Days"))).cast("long"))
     change, sold = F.col("Growth30Days"), F.col("SalesLast30Days")
     return ranked.select(
         PRODUCT, DAY, "DailyQty", "SalesLast7Days", "SalesLast30Days", "SalesPrev30Days",

@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.operators.audit import lineage_row
-from tarnlake.operators.merge import ACTION, unique_source
+from tarnlake.operators.merge import ACTION
 from tarnlake.operators.rules import apply_rules
 from tarnlake.plans import dims, facts
 from tarnlake.plans.clean_tables import SPECS, clean_table
 from tarnlake.plans.rulebooks import silver_rules
 from tarnlake.sinks import tables as sink
+from tarnlake.sinks.buckets import exists, read_buckets
 
 # Dimension -> (rows from cleaned tables, the cleaned tables it reads).
 DIMENSION_SOURCES = {
@@ -40,7 +41,8 @@ def table_path(root: str, table: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return sink.read_current(spark, table_path(root, table))
+    path = table_path(root, table)
+    return read_buckets(spark, path) if table in facts.FACT_KEYS else sink.read_current(spark, path)
 
 
 def log_path(root: str, log: str) -> str:
@@ -57,6 +59,11 @@ def _store(
     common = dict(common, layer="SILVER", table=table)
     try:
         df = build()
+        if table in facts.FACT_KEYS:
+            counts = facts.upsert_fact(table, df, table_path(root, table)).agg(
+                F.count(F.lit(1)), F.count(F.when(F.col(ACTION) != "keep", 1))).first()
+            row = lineage_row(spark, start=start, read=counts[0], written=counts[1], **common)
+            return True, row, apply_rules(read_table(spark, root, table), silver_rules(), **common)
         seen = Observation()
         changed = F.count(F.lit(1))
         if ACTION in df.columns:
@@ -99,7 +106,8 @@ def clean_job(
 
 def _current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     path = table_path(root, table)
-    return sink.read_current(spark, path) if sink.current_path(spark, path) else None
+    there = exists(spark, path) if table in facts.FACT_KEYS else sink.current_path(spark, path)
+    return read_table(spark, root, table) if there else None
 
 
 def dimension_job(
@@ -149,7 +157,7 @@ FACT_NEEDS = {
 def fact_job(
     spark: SparkSession, root: str, run_id: str, names: Iterable[str] = tuple(facts.FACT_KEYS), failed: Iterable[str] = ()
 ) -> list[str]:
-    """Cleaned tables and dimensions to the next version of every fact. A fact that reads a ``failed`` table is not
+    """Cleaned tables and dimensions into the buckets of every fact. A fact that reads a ``failed`` table is not
     built on yesterday's keys; its log row says why."""
     def read(table: str) -> DataFrame:
         return read_table(spark, root, table)
@@ -165,11 +173,7 @@ def fact_job(
 
     def build(name: str) -> DataFrame:
         _needs(FACT_NEEDS[name], failed)
-        target = _current(spark, root, name)
-        rows = source(name)
-        if target is None:
-            return unique_source(rows, facts.FACT_KEYS[name]).withColumn(ACTION, F.lit("insert"))
-        return facts.load_fact(name, rows, target)
+        return source(name)
 
     builds = {n: lambda n=n: build(n) for n in names}
     return store_all(spark, root, builds, run_id=run_id, process="facts")

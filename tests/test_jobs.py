@@ -43,3 +43,19 @@ def test_dimension_versions_keep_keys_over_days(spark, rows, tmp_path):
 
 def test_every_dimension_source_is_declared():
     assert all(t in SPECS for _, needed in jobs.DIMENSION_SOURCES.values() for t in needed)
+
+
+def test_facts_are_not_built_on_dimensions_that_failed(spark, tmp_path):
+    root = str(tmp_path)
+    failed = jobs.fact_job(spark, root, "r1", ["fact_sales_order_detail"], failed=["dim_product"])
+    assert failed == ["fact_sales_order_detail"]
+    log = spark.read.parquet(jobs.log_path(root, "data_lineage"))
+    assert "dim_product failed in this run" in log.first()["ErrorMsg"]
+
+
+def test_the_calendar_covers_every_stored_order(spark, tmp_path):
+    root = str(tmp_path)
+    assert jobs.covered_days(spark, root) == jobs.CALENDAR
+    rows = spark.sql("select timestamp'2031-05-06 10:00:00' as OrderDate, cast(null as timestamp) as ShipDate")
+    sink.overwrite(rows, jobs.table_path(root, "clean_sales_order_header"))
+    assert jobs.covered_days(spark, root) == ("2010-01-01", "2031-05-06")

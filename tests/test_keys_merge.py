@@ -151,3 +151,48 @@ def test_calendar_has_every_day(spark):
     assert cal.count() == 5844
     r = cal.filter("DateKey = 20240229").first()
     assert (r.DayNameOfWeek, r.MonthName, r.CalendarQuarter, r.DayNumberOfWeek, r.IsWeekend) == ("Thursday", "February", 1, 5, 0)
+
+
+def test_upsert_touches_only_changed_buckets(spark, rows, tmp_path):
+    from pathlib import Path
+
+    from tarnlake.sinks.buckets import bucket_column, read_buckets, upsert_buckets
+
+    path = str(tmp_path / "fact")
+
+    def day(*values):
+        return spark.createDataFrame(list(values), "k long, v string, n int")
+
+    first = upsert_buckets(day(*[(i, f"v{i}", i) for i in range(200)]), path, ["k"], ["v", "n"], buckets=16)
+    assert {r.merge_action for r in first.collect()} == {"insert"}
+    files = {f: f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+    assert len({f.parent for f in files}) == 16
+    merged = upsert_buckets(day((7, "new", 7), (1000, "x", 1), (8, "v8", 8)), path, ["k"], ["v", "n"], buckets=99)
+    assert {r.k: r.merge_action for r in merged.collect() if r.k in (7, 8, 1000)} == {7: "update", 8: "keep", 1000: "insert"}
+    stored = read_buckets(spark, path)
+    assert stored.count() == 201 and rows(stored.filter("k in (7, 8, 1000)")) == [(1000, "x", 1), (7, "new", 7), (8, "v8", 8)]
+    table = spark.read.parquet(path)
+    changed = {r[0] for r in table.filter("k in (7, 1000)").select(bucket_column(table)).collect()}
+    now = set(Path(path).rglob("*.parquet"))
+    gone = {f.parent.name for f in files if f not in now}
+    assert gone == {f"{bucket_column(table)}={b}" for b in changed}
+    assert all(f.stat().st_mtime_ns == files[f] for f in now & set(files))
+    plan = table.filter(table[bucket_column(table)].isin([3]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert upsert_buckets(day((7, "new", 7)), path, ["k"], ["v", "n"]).filter("merge_action <> 'keep'").count() == 0
+
+
+def test_upsert_refuses_two_rows_for_a_key(spark, tmp_path):
+    from tarnlake.sinks.buckets import upsert_buckets
+
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
+    with pytest.raises(Exception, match="several rows for one key"):
+        upsert_buckets(twice, str(tmp_path / "f"), ["k"], ["v"])
+
+
+def test_lookup_takes_the_newest_of_several_members(spark, rows):
+    from tarnlake.operators.lookup import lookup_sk
+
+    fact = spark.createDataFrame([(1, 10), (2, 11), (3, None)], "id int, c int")
+    dim = spark.createDataFrame([(10, 5), (10, 8), (12, 9)], "c int, sk long")
+    assert rows(lookup_sk(fact, dim, "c", "c", "sk", "found"), "id", "found") == [(1, 8), (2, -1), (3, -1)]

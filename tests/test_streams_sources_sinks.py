@@ -170,3 +170,39 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_broken_key_is_never_published(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sink.replace_feature_table(spark.range(3), path, ["id"])
+    with pytest.raises(ValueError):
+        sink.replace_feature_table(spark.range(2).select(F.lit(1).cast("long").alias("id")), path, ["id"])
+    assert sink.read_current(spark, path).count() == 3
+    sink.replace_feature_table(spark.range(5), path, ["id"])
+    assert sink.read_current(spark, path).count() == 5
+    assert sink.remove_versions(spark, path, keep=1) == [1] and sink.read_current(spark, path).count() == 5
+
+
+def test_an_append_takes_one_row_of_a_key(spark, tmp_path):
+    assert sink.append_new(spark.createDataFrame([(1,), (1,), (2,)], "id long"), str(tmp_path / "a"), ["id"]) == 2
+
+
+def test_unfinished_snapshots_are_passed_over(spark, tmp_path):
+    from tarnlake.sources import snapshots
+
+    root = tmp_path / "land"
+    for day in ("01-01-2024", "01-02-2024"):
+        spark.range(1).write.parquet(str(root / "sales" / "store" / f"store_{day}.parquet"))
+    (root / "sales" / "store" / "store_01-02-2024.parquet" / "_SUCCESS").unlink()
+    found = snapshots.latest_snapshots(spark, str(root)).collect()
+    assert [r.table_name for r in found] == ["sales_store"] and found[0].snapshot.endswith("store_01-01-2024.parquet")
+
+
+def test_rows_of_a_run_read_only_its_partition(spark, tmp_path):
+    land, out = tmp_path / "in", str(tmp_path / "out")
+    spark.range(4).write.json(str(land))
+    stats = st.ingest(spark, str(land), "json", "id long", str(tmp_path / "c"), out, "run-a")
+    assert (stats.read, stats.written) == (4, 4)
+    picked = st.this_run(spark.read.parquet(out), "run-a")
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert picked.count() == 4 and "PartitionFilters: [isnotnull(IngestRunID" in plan

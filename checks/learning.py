@@ -28,7 +28,8 @@ def fitted(spark, sf_dir: str):
 
 def indexed(spark, sf_dir: str):
     return tidy(prepared(spark, sf_dir).select(
-        "Customer_SK", "ClientRank", "label", F.size(learning.vector_to_array("features")).alias("width")))
+        "Customer_SK", "ClientRank", "label", *[
+            learning.vector_to_array("features")[i].alias(c) for i, c in enumerate(learning.TIER_FEATURES)]))
 
 
 def predictions(spark, sf_dir: str):
@@ -97,7 +98,7 @@ FORECAST = """
 def register(reg: Registry) -> None:
     reg.add("j01_label_and_features", indexed, with_tables("""
         SELECT Customer_SK, ClientRank, CASE ClientRank WHEN 'BRONZE' THEN 0.0::DOUBLE WHEN 'GOLD' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS label,
-          6 AS width FROM (SELECT *, CASE
+          """ + ", ".join(q(c, c) for c in learning.TIER_FEATURES) + """ FROM (SELECT *, CASE
           WHEN TotalHistoricalValue >= (SELECT TotalHistoricalValue FROM ranked_customers WHERE rn = ceil(0.66::DOUBLE * n)) THEN 'GOLD'
           WHEN TotalHistoricalValue >= (SELECT TotalHistoricalValue FROM ranked_customers WHERE rn = ceil(0.33::DOUBLE * n)) THEN 'SILVER'
           ELSE 'BRONZE' END AS ClientRank FROM ranked_customers) AS r""", FEATURES))

@@ -63,12 +63,12 @@ def apply_rules(
     rule = select_rule(book, table, layer)
     if rule is None:
         return df.sparkSession.createDataFrame([], RECORD)
-    have = set(df.columns)
+    have = {c.lower() for c in df.columns}  # columns are found whatever their case, as Spark does
     nulls = list(rule.check_null)
     if layer == "BRONZE":
         nulls += [c for c in METADATA if c not in nulls]
-    nulls = [c for c in nulls if c in have]
+    nulls = [c for c in nulls if c.lower() in have]
     dups = [
-        k for k in rule.check_dup if set([k] if isinstance(k, str) else k) <= have
+        k for k in rule.check_dup if {c.lower() for c in ([k] if isinstance(k, str) else k)} <= have
     ] if nulls else []
     return quality(df, nulls, dups, run_id=run_id, process=process, layer=layer, table=table)

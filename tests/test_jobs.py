@@ -59,3 +59,25 @@ def test_the_calendar_covers_every_stored_order(spark, tmp_path):
     rows = spark.sql("select timestamp'2031-05-06 10:00:00' as OrderDate, cast(null as timestamp) as ShipDate")
     sink.overwrite(rows, jobs.table_path(root, "clean_sales_order_header"))
     assert jobs.covered_days(spark, root) == ("2010-01-01", "2031-05-06")
+
+
+def test_the_raw_job_drains_each_table_once_with_new_columns(spark, rows, tmp_path):
+    from tarnlake.plans import raw as raw_layer
+
+    land, root = tmp_path / "land", str(tmp_path / "lake")
+    first = spark.createDataFrame([(1, "a"), (None, "b")], "territoryid int, name string")
+    first.write.parquet(str(land / "sales" / "salesterritory" / "salesterritory_01-01-2024.parquet"))
+    spark.range(3).write.parquet(str(land / "other" / "thing" / "thing_01-01-2024.parquet"))
+    assert raw_layer.raw_job(spark, str(land), root, "r1") == []
+    more = spark.createDataFrame([(3, "c", "x")], "territoryid int, name string, region string")
+    more.write.parquet(str(land / "sales" / "salesterritory" / "salesterritory_01-02-2024.parquet"))
+    assert raw_layer.raw_job(spark, str(land), root, "r2", ["sales_salesterritory", "no_such_table"]) == ["no_such_table"]
+    assert raw_layer.raw_job(spark, str(land), root, "r3", ["sales_salesterritory"]) == []
+    table = raw_layer.read_raw(spark, root, "sales_salesterritory")
+    assert rows(table, "name", "region", "IngestRunID") == [("a", None, "r1"), ("b", None, "r1"), ("c", "x", "r2")]
+    log = spark.read.parquet(jobs.log_path(root, "data_lineage"))
+    assert rows(log, "RunID", "TableSaved", "QtyRead", "QtyWritten", "Status") == [
+        ("r1", "other_thing", 3, 3, "SUCCESS"), ("r1", "sales_salesterritory", 2, 2, "SUCCESS"), ("r2", "no_such_table", 0, 0, "FAIL"),
+        ("r2", "sales_salesterritory", 1, 1, "SUCCESS"), ("r3", "sales_salesterritory", 0, 0, "SUCCESS")]
+    checks = spark.read.parquet(jobs.log_path(root, "data_quality")).filter("CheckType = 'NULL' and ColumnName = 'territoryid'")
+    assert rows(checks, "RunID", "FailedRows") == [("r1", 1), ("r2", 0)]

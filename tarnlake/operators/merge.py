@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnlake.operators.keys import assign_keys
+from tarnlake.operators.keys import highest_key, number_rows
+from tarnlake.session import checkpointed
 
 ACTION = "merge_action"
 
@@ -82,27 +83,31 @@ def scd1_merge(
         ]
         return tagged.select(*picked, ACTION)
 
-    joined = target.alias("t").join(
+    joined = target.withColumn("_t", F.lit(1)).alias("t").join(
         source.withColumn("_s", F.lit(1)).alias("s"),
         [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys],
-        "left",
+        "full_outer",
     )
-    tagged = joined.withColumn(
-        ACTION,
-        F.when(F.col("s._s").isNotNull() & _differs(compare), "update").otherwise("keep"),
+    action = (
+        F.when(F.col("t._t").isNull(), "insert")
+        .when(F.col("s._s").isNotNull() & _differs(compare), "update")
+        .otherwise("keep")
     )
+    tagged = joined.withColumn(ACTION, action)
     taken = set(compare)
-    matched = tagged.select(
-        *[
-            F.when(F.col(ACTION) == "update", F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-            if c in taken
-            else F.col(f"t.{c}").alias(c)
-            for c in columns
-        ],
-        ACTION,
-    )
-    added = assign_keys(source, target, sk, keys).withColumn(ACTION, F.lit("insert"))
-    return matched.unionByName(added.select(*columns, ACTION))
+
+    def pick(c: str):
+        if c == sk:
+            return F.col(f"t.{c}")
+        if c in keys:
+            return F.coalesce(f"t.{c}", f"s.{c}")
+        fresh = F.col(ACTION) == "insert"
+        return F.when(fresh | (F.col(ACTION) == "update") if c in taken else fresh, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+
+    # Stored once: both sides are read a single time, and the new rows are numbered from what is stored.
+    done = checkpointed(tagged.select(*[pick(c).alias(c) for c in columns], ACTION))
+    added = number_rows(done.filter(F.col(ACTION) == "insert").drop(sk), keys, sk, highest_key(done, sk) + 1)
+    return done.filter(F.col(ACTION) != "insert").unionByName(added.select(*columns, ACTION))
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:

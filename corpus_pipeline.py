@@ -19,7 +19,7 @@ TARGETS = (0.97, 0.03)
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
-    return quality_rules.judge(docs).filter("kept").select(*docs.columns)
+    return quality_rules.kept_documents(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

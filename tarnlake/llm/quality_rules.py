@@ -123,6 +123,17 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") ->
         "kept", ~F.col("base_failed") & verdict(rules))
 
 
+def kept_documents(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
+    """The documents that pass, with their own columns only.
+
+    The judged rows are counted on their way (``quality_rules`` among the query's observed metrics). That also keeps the
+    optimizer from moving the filter below the counts, where it would repeat every count in each place it is used.
+    """
+    judged = judge(docs.withColumns({f"_own_{c}": F.col(c) for c in docs.columns}), rules, text)
+    seen = judged.observe("quality_rules", F.count(F.lit(1)).alias("judged"), F.count_if("kept").alias("kept"))
+    return seen.filter("kept").select(*(F.col(f"_own_{c}").alias(c) for c in docs.columns))
+
+
 def rules_sql(rules: Sequence[Rule] = RULES) -> str:
     parts = []
     for r in rules:

@@ -34,6 +34,8 @@ from tarnlake.llm.neighbour_quality import CLASS, CLASSES, STEPS
 BUCKETS = 1 << 16
 SHAPES = CLASSES * CLASSES + len(STEPS)
 BROADCAST_ROWS = 1_000_000
+# Weight of the squared coefficients against the mean loss.
+RIDGE = 1e-3
 
 
 def word_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +113,7 @@ def choose_words(labelled: DataFrame, domains: int, most: int = 256, least: floa
     return np.sort(order[best[order] >= least])
 
 
-def fit(texts: DataFrame, known: DataFrame, domains: int, sample: int = 4000, rounds: int = 300) -> Model:
+def fit(texts: DataFrame, known: DataFrame, domains: int, sample: int = 4000, rounds: int = 300, ridge: float = RIDGE) -> Model:
     """texts: (doc_id, t); known: stored (doc_id, domain from 0)."""
     buckets = choose_words(texts.join(small(known, BROADCAST_ROWS), "doc_id"), domains)
     # The ids are chosen before any text moves; there are ``sample`` of them at most.
@@ -148,7 +150,7 @@ def fit(texts: DataFrame, known: DataFrame, domains: int, sample: int = 4000, ro
     for k in range(rounds):
         z = a @ ahead
         e = np.exp(z - z.max(axis=1, keepdims=True))
-        slope = a.T @ (e / e.sum(axis=1, keepdims=True) - target) / len(y) + np.float32(1e-4) * ahead
+        slope = a.T @ (e / e.sum(axis=1, keepdims=True) - target) / len(y) + np.float32(ridge) * ahead
         old, w = w, ahead - step * slope
         ahead = w + np.float32(k / (k + 3)) * (w - old)
     return Model(buckets, mean, scale, w)

@@ -66,7 +66,8 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
-    return paragraph_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return paragraph_dedup.repeated_paragraphs(docs).unionByName(paragraph_dedup.repeated_passages(docs))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

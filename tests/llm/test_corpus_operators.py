@@ -167,6 +167,35 @@ def test_repeated_paragraphs(docs, prose):
     assert 1 - (1 - 0.8**size) ** bands >= 0.9998
 
 
+def test_passages_equal_brute_force_over_all_windows(docs, prose):
+    a, b, c = (prose(s, n).split() for s, n in ((1, 99), (2, 50), (3, 140)))
+    lines = lambda w, n: "\n".join(" ".join(w[k : k + n]) for k in range(0, len(w), n))
+    rows = [(1, f"{prose(20, 30)}\n{lines(a, 12)}"), (2, f"{prose(21, 200)} {' '.join(a[10:90]).upper()} {prose(22, 150)}"), (3, lines(b, 9)),
+            (4, f"{prose(23, 80)} {' '.join(b)} {prose(24, 5)}\n{' '.join(b)}"), (5, " ".join(b[:49])), (6, lines(c, 30)), (7, lines(c, 25)), (8, lines(c[60:], 7)),
+            (9, "go on and " * 60), (10, f"on and {'go on and ' * 30}"), (11, None), (12, ""), (6, lines(c, 30)), (None, lines(a, 12)), (13, prose(25, 400)),
+            (14, edited(" ".join(c), 5, 2)), (15, f"{lines(a[:60], 20)} {lines(c[:70], 11)} {lines(a[40:], 8)}")]
+    first, covered = {}, collections.defaultdict(set)
+    for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        w = words(t)
+        for p in range(len(w) - 49):
+            if first.setdefault(tuple(w[p : p + 50]), (i, p)) != (i, p):
+                covered[i].update(range(p, p + 50))
+    found = paragraph_dedup.repeated_passages(docs(rows)).collect()
+    got, text = collections.defaultdict(set), {i: words(t) for i, t in rows}
+    for r in found:
+        at, start = -1 - r.paragraph, -1 - r.first_paragraph
+        assert text[r.doc_id][at : at + r.n_words] == text[r.first_doc_id][start : start + r.n_words] and r.n_words >= 50
+        assert (r.doc_id, r.paragraph) == (r.first_doc_id, r.first_paragraph) or r.removed
+        if r.removed:
+            got[r.doc_id].update(range(at, at + r.n_words))
+    assert got == covered and {2, 4, 7, 8, 9, 10, 14, 15} == set(got)
+    assert len({(r.doc_id, r.paragraph) for r in found}) == len(found)
+    assert sum(not r.removed for r in found) == len({(r.first_doc_id, r.first_paragraph) for r in found})
+    left = {r.doc_id: words(r.text) for r in paragraph_dedup.without_repeats(docs(rows), paragraph_dedup.repeated_passages(docs(rows))).collect()}
+    assert all(left[i] == [w for k, w in enumerate(text[i]) if k not in covered[i]] for i in text if i is not None)
+    assert paragraph_dedup.repeated_passages(docs(rows).limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 257, 5000])
 def test_the_network_permutes(size):
     for key in ("a", "b"):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm import decontaminate, domain_mix, quality_rules, shingle_join, token_shards
-from tarnlake.llm.common import bounded_batches, stored, table
+from tarnlake.llm.common import bounded_batches, small, stored, table
 
 #: Shares of tokens that the training text should have: clean, toxic.
 TARGETS = (0.97, 0.03)
@@ -34,10 +34,16 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document comes as often as its rate towards the target shares says: clean ones once or more."""
+    """Each document comes as often as its rate towards the target shares says: clean ones once or more.
+
+    A document is clean by its label or, without one, if its clean posterior prevails; toxic ones are not repeated to reach their share."""
     bounded_batches(spark)
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("domain"))
-    return domain_mix.drawn(domain_mix.mix(docs, labels, TARGETS)).select(*docs.columns)
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col("domain").isin(0, 1)).groupBy(F.col("doc_id").alias("_d")).agg(F.min("domain").alias("_toxic"))
+    known = small(stored(known, "known-labels"), domain_mix.BROADCAST_ROWS)
+    mixed = domain_mix.mix(docs, labels, TARGETS, capped=(1,))
+    clean = F.coalesce(F.col("_toxic") == 0, F.col("posteriors")[0] >= 0.5)
+    return domain_mix.drawn(mixed.join(known, mixed["doc_id"] == known["_d"], "left"), keep=clean).select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,11 +167,12 @@ def replay(p: np.ndarray, moves: np.ndarray, highest: float) -> np.ndarray:
 def mix(
     docs: DataFrame, labelled: DataFrame, targets: Sequence[float], budget: float | None = None, text: str = "text",
     rounds: int = 60, tolerance: float = 1e-4, sample: int = 4000, highest: float = float("inf"),
+    capped: Sequence[int] = (),
 ) -> DataFrame:
     """Add n_tokens (words), posteriors, rate.
 
     labelled: (doc_id, domain), domains numbered from 0; targets: their weights. ``budget`` is the expected total of tokens
-    (by default all there are).
+    (by default all there are). The target share of a ``capped`` domain is no more than the share present; the others take the rest.
     """
     need(docs, "doc_id", text)
     need(labelled, "doc_id", "domain")
@@ -194,7 +195,7 @@ def mix(
 
     schema = T.StructType([*base.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("posteriors", T.ArrayType(T.DoubleType()))])
     weighed = base.mapInArrow(read, schema)
-    return fit_rates(weighed, weights, budget, rounds, tolerance, highest, text)
+    return fit_rates(weighed, weights, budget, rounds, tolerance, highest, text, capped)
 
 
 def member_sums(rows: DataFrame, moves: np.ndarray, domains: int, highest: float) -> np.ndarray:
@@ -214,6 +215,7 @@ def member_sums(rows: DataFrame, moves: np.ndarray, domains: int, highest: float
 
 def fit_rates(
     weighed: DataFrame, weights: np.ndarray, budget: float | None, rounds: int, tolerance: float, highest: float, text: str,
+    capped: Sequence[int] = (),
 ) -> DataFrame:
     """Projected gradient on rows that carry n_tokens and posteriors."""
     domains = len(weights)
@@ -221,6 +223,10 @@ def fit_rates(
     rows = stored(weighed.select("n_tokens", "posteriors"), "memberships")
     moves = np.zeros((0, domains))
     present = member_sums(rows, moves, domains, highest)
+    if capped and present.sum() > 0:
+        bound = np.isin(np.arange(domains), capped)
+        held = np.where(bound, np.minimum(weights, present / present.sum()), 0)
+        weights = np.where(bound, held, weights * (1 - held.sum()) / max(weights[~bound].sum(), 1e-9))
     goal = weights * (present.sum() if budget is None else budget)
     now = present
     for _ in range(rounds):
@@ -240,8 +246,12 @@ def fit_rates(
     return weighed.withColumn("rate", rate("posteriors"))
 
 
-def drawn(mixed: DataFrame, text: str = "text", seed: int = 0) -> DataFrame:
-    """Whole copies that come to the rates on average: each row as often as its rate, rounded up by a draw from its id and text."""
+def drawn(mixed: DataFrame, text: str = "text", seed: int = 0, keep: Column | None = None) -> DataFrame:
+    """Whole copies that come to the rates on average: each row as often as its rate, rounded up by a draw from its id and text.
+
+    Rows where ``keep`` holds come once at least."""
     place = F.pmod(F.xxhash64("doc_id", text, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor(F.col("rate") + place).cast("int")
+    if keep is not None:
+        copies = F.greatest(copies, keep.cast("int"))
     return mixed.withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>")))).drop("_copy")

@@ -70,6 +70,33 @@ def test_pipeline_stages(spark):
     assert entry_points.queries()["pipeline"](spark, folder).count() == kept[5].count()
 
 
+@pytest.mark.parametrize("toxic", [3, 100])
+def test_the_mixture_loses_no_clean_document(spark, docs, prose, tmp_path, toxic):
+    import collections
+
+    plain = [(i, f"{prose(i, 40)} fine") for i in range(300)]
+    odd = [(1000 + i, f"{prose(1000 + i, 40)} horrid nasty") for i in range(toxic)]
+    clean_by_label = [(2000 + i, f"{prose(2000 + i, 40)} horrid nasty") for i in range(10)] if toxic > 10 else []
+    rows = [*plain, *odd, *clean_by_label, (3000, None), (None, f"{prose(5, 40)} fine")]
+    labels = [(i, int(1000 <= i < 2000)) for i, _ in plain + odd if i % 3] + [(i, 0) for i, _ in clean_by_label] + [(1, None)]
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = corpus_pipeline.mixture(spark, docs(rows), str(tmp_path))
+    assert out.columns == docs(rows).columns
+    got = collections.Counter(r.doc_id for r in out.select("doc_id").collect())
+    assert {i for i, _ in rows} - {i for i, _ in odd} <= set(got)
+    # Few toxic documents are not repeated; too many are thinned.
+    few = sum(got[i] for i, _ in odd)
+    assert few == toxic if toxic < 10 else few < toxic / 2
+    assert toxic > 10 or max(got.values()) == 1
+
+
+def test_the_mixture_keeps_the_clean_labels_of_the_given_tables(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = table(spark, folder, "documents")
+    clean = table(spark, folder, "labels").filter("toxic = 0").join(docs.select("doc_id"), "doc_id", "left_semi").select("doc_id").distinct()
+    assert clean.count() > 100 and clean.join(corpus_pipeline.mixture(spark, docs, folder), "doc_id", "left_anti").isEmpty()
+
+
 def texts():
     import duckdb
 

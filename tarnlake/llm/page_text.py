@@ -43,12 +43,13 @@ SITE_WORDS = frozenset(
     "masthead pagination pager tags skip copyright legal disclaimer topbar".split())
 ARTICLE_WORDS = frozenset("article post entry story content main body text".split())
 SITE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-NEITHER, ARTICLE_PART, SITE_PART = 0, 1, 2
+# HINTED: a site part by a word of its class or id only, in which an article may begin.
+NEITHER, ARTICLE_PART, SITE_PART, HINTED = 0, 1, 2, 3
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>|<[!?/][^>]*(?:>|\Z)", re.DOTALL)
-HINT = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 WORD = re.compile(r"[a-z]+")
 
 
@@ -64,7 +65,7 @@ class Block:
 def surroundings(name: str, rest: str, outer: int) -> int | None:
     """What an element makes of its contents; None: they are never shown."""
     words, role = set(), ""
-    for m in HINT.finditer(rest):
+    for m in ATTRIBUTE.finditer(rest):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
             return None
@@ -72,11 +73,15 @@ def surroundings(name: str, rest: str, outer: int) -> int | None:
             words.update(WORD.findall(value))
         elif key == "role":
             role = value.strip()
-    if outer == SITE_PART or name in SITE or role in SITE_ROLES or words & SITE_WORDS:
+    if outer == SITE_PART or name in SITE or role in SITE_ROLES:
         return SITE_PART
-    if outer == ARTICLE_PART:
+    if words & SITE_WORDS and name not in ("html", "body", "main"):
+        return SITE_PART if outer == ARTICLE_PART else HINTED
+    if outer == ARTICLE_PART or name in ARTICLE or role in ("main", "article"):
+        return ARTICLE_PART
+    if outer == HINTED:
         return outer
-    if name in ARTICLE or role in ("main", "article") or (words & ARTICLE_WORDS and name not in ("body", "html", "header")):
+    if words & ARTICLE_WORDS and name not in ("body", "html", "header"):
         return ARTICLE_PART
     return SITE_PART if name == "header" or "header" in words else outer
 
@@ -104,7 +109,7 @@ def blocks(page: str) -> list[Block]:
             words = "".join(parts).split()
             if words:
                 heading = any(n in ("h1", "h2", "h3", "h4", "h5", "h6") for n, _ in opened[-3:])
-                out.append(Block(" ".join(words), len(words), min(linked, len(words)), part(), int(heading)))
+                out.append(Block(" ".join(words), len(words), min(linked, len(words)), min(part(), SITE_PART), int(heading)))
         parts.clear()
         linked = 0
 

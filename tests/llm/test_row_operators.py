@@ -91,6 +91,22 @@ def test_main_text_of_a_page(spark):
     assert page_text.extract(pages).count() == 7 and page_text.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page", [
+    "<html class='no-social'><body class='sidebar-right'><article><p>{}</article></body></html>",
+    "<div class='main with-sidebar'><article><p>{}</article></div>", "<div class='post related-stories-page'><main><p>{}</main></div>",
+    "<main class='has-sidebar'><p>{}</main>", "<article><p title='the hidden truth'>{}</article>", "<article><p data-hidden='false'>{}</article>",
+    "<article><p><a href='/hidden-gems'></a>{}</article>", "<article><p data-class='menu' title='class=menu id=ads'>{}</article>"])
+def test_attributes_do_not_hide_an_article(page):
+    said = "It was a long day and so they went on until it grew dark over the hills"
+    assert page_text.main_text(page.format(said), page_text.trained()) == said
+
+
+def test_site_parts_stay_out():
+    page = ("<div class='sidebar'><p>Side words here</div><article><p>One two three<section id=comments><article><p>I like it</article></section>"
+            "<p hidden>No</p><p class=x hidden=''>No</p></article><nav><article>Teaser</article></nav>")
+    assert page_text.main_text(page, page_text.trained()) == "One two three"
+
+
 def test_the_tree_tells_the_labelled_blocks_apart():
     tree = page_text.trained()
     right = total = 0

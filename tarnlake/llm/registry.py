@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import decontaminate, domain_mix, neighbour_quality, page_text, paragraph_dedup, quality_rules, sharding, shingle_join, token_counts, token_shards
+from tarnlake.llm import decontaminate, domain_mix, minhash_dedup, neighbour_quality, page_text, paragraph_dedup, quality_rules, sharding, shingle_join, token_alignment, token_counts, token_shards
 from tarnlake.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,17 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return minhash_dedup.near_copies(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return token_alignment.alignment(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -92,9 +103,12 @@ QUERIES: dict[str, Query] = {
     "op8_token_shards": op8_token_shards,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_minhash_dedup": op12_minhash_dedup,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard": shingle_join.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,
+    "op12_minhash_dedup": minhash_dedup.ORACLE,
     "op6_quality_rules": f"SELECT {', '.join(QUALITY)} FROM ({quality_rules.judged_sql()}) AS q",
 }

@@ -32,7 +32,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in entry_points.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry_points.queries()
 
 
 def test_native_queries_run_no_python(spark):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import decontaminate, domain_mix, minhash_dedup, neighbour_quality, page_text, paragraph_dedup, quality_rules, sharding, shingle_join, token_alignment, token_counts, token_shards
+from tarnlake.llm import decontaminate, domain_mix, minhash_dedup, neighbour_quality, page_text, paragraph_dedup, prefix_trie, quality_rules, sharding, shingle_join, token_alignment, token_counts, token_shards
 from tarnlake.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
 def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return minhash_dedup.near_copies(table(spark, sf_dir, "documents"))
@@ -103,12 +108,14 @@ QUERIES: dict[str, Query] = {
     "op8_token_shards": op8_token_shards,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_minhash_dedup": op12_minhash_dedup,
     "op13_token_alignment": op13_token_alignment,
 }
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard": shingle_join.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
     "op12_minhash_dedup": minhash_dedup.ORACLE,
     "op6_quality_rules": f"SELECT {', '.join(QUALITY)} FROM ({quality_rules.judged_sql()}) AS q",
 }

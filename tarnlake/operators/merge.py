@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.operators.keys import highest_key, number_rows
@@ -38,7 +38,8 @@ def unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.withColumn("_nth", F.row_number().over(w)).filter(only).drop("_nth")
 
 
-def _differs(compare: Sequence[str]):
+def differs_from(compare: Sequence[str]) -> Column:
+    """Whether a compared column of t and s differs, nulls being equal."""
     changed = F.lit(False)
     for c in compare:
         changed = changed | ~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}"))
@@ -71,7 +72,7 @@ def scd1_merge(
         )
         action = (
             F.when(F.col("t._t").isNull(), "insert")
-            .when(F.col("s._s").isNotNull() & _differs(compare), "update")
+            .when(F.col("s._s").isNotNull() & differs_from(compare), "update")
             .otherwise("keep")
         )
         tagged = joined.withColumn(ACTION, action)
@@ -90,7 +91,7 @@ def scd1_merge(
     )
     action = (
         F.when(F.col("t._t").isNull(), "insert")
-        .when(F.col("s._s").isNotNull() & _differs(compare), "update")
+        .when(F.col("s._s").isNotNull() & differs_from(compare), "update")
         .otherwise("keep")
     )
     tagged = joined.withColumn(ACTION, action)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarnlake.operators.dedup import dedup
 from tarnlake.operators.lookup import lookup_sk
 from tarnlake.operators.merge import scd1_merge
-from tarnlake.sinks.buckets import upsert_buckets
+from tarnlake.sinks.ranges import Upsert, upsert_ranges
 
 FACT_KEYS = {
     "fact_sales_order": ("OrderID",),
@@ -77,10 +77,10 @@ def fact_purchases(lines: DataFrame, headers: DataFrame, dims: Mapping[str, Data
     )
 
 
-def upsert_fact(name: str, source: DataFrame, path: str) -> DataFrame:
-    """Merge rows into a fact stored in buckets of its key; returns the touched rows with what happened to them."""
+def upsert_fact(name: str, source: DataFrame, path: str) -> Upsert:
+    """Merge rows into a fact stored in files of key ranges; returns what was read and the rows that changed."""
     keys = FACT_KEYS[name]
-    return upsert_buckets(source, path, keys, [c for c in source.columns if c not in keys])
+    return upsert_ranges(source, path, keys, [c for c in source.columns if c not in keys])
 
 
 def load_fact(name: str, source: DataFrame, target: DataFrame) -> DataFrame:

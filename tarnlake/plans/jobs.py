@@ -21,7 +21,7 @@ from tarnlake.plans import dims, facts
 from tarnlake.plans.clean_tables import SPECS, clean_table
 from tarnlake.plans.rulebooks import silver_rules
 from tarnlake.sinks import tables as sink
-from tarnlake.sinks.buckets import exists, read_buckets
+from tarnlake.sinks.ranges import exists, read_ranges
 
 # Dimension -> (rows from cleaned tables, the cleaned tables it reads).
 DIMENSION_SOURCES = {
@@ -42,7 +42,7 @@ def table_path(root: str, table: str) -> str:
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     path = table_path(root, table)
-    return read_buckets(spark, path) if table in facts.FACT_KEYS else sink.read_current(spark, path)
+    return read_ranges(spark, path, facts.FACT_KEYS[table]) if table in facts.FACT_KEYS else sink.read_current(spark, path)
 
 
 def log_path(root: str, log: str) -> str:
@@ -54,15 +54,14 @@ def _store(
 ) -> tuple[bool, DataFrame, DataFrame | None]:
     """Build and write one table; returns success, its lineage row and its checks. An
     upsert's tag column is counted while writing and left out; the lineage row tells
-    inserted plus updated rows."""
+    inserted plus updated rows, and for facts the rows that the load brought."""
     start = datetime.now(timezone.utc)
     common = dict(common, layer="SILVER", table=table)
     try:
         df = build()
         if table in facts.FACT_KEYS:
-            counts = facts.upsert_fact(table, df, table_path(root, table)).agg(
-                F.count(F.lit(1)), F.count(F.when(F.col(ACTION) != "keep", 1))).first()
-            row = lineage_row(spark, start=start, read=counts[0], written=counts[1], **common)
+            done = facts.upsert_fact(table, df, table_path(root, table))
+            row = lineage_row(spark, start=start, read=done.read, written=done.changed.count(), **common)
             return True, row, apply_rules(read_table(spark, root, table), silver_rules(), **common)
         seen = Observation()
         changed = F.count(F.lit(1))
@@ -157,7 +156,7 @@ FACT_NEEDS = {
 def fact_job(
     spark: SparkSession, root: str, run_id: str, names: Iterable[str] = tuple(facts.FACT_KEYS), failed: Iterable[str] = ()
 ) -> list[str]:
-    """Cleaned tables and dimensions into the buckets of every fact. A fact that reads a ``failed`` table is not
+    """Cleaned tables and dimensions into the key-range files of every fact. A fact that reads a ``failed`` table is not
     built on yesterday's keys; its log row says why."""
     def read(table: str) -> DataFrame:
         return read_table(spark, root, table)

@@ -196,3 +196,98 @@ def test_lookup_takes_the_newest_of_several_members(spark, rows):
     fact = spark.createDataFrame([(1, 10), (2, 11), (3, None)], "id int, c int")
     dim = spark.createDataFrame([(10, 5), (10, 8), (12, 9)], "c int, sk long")
     assert rows(lookup_sk(fact, dim, "c", "c", "sk", "found"), "id", "found") == [(1, 8), (2, -1), (3, -1)]
+
+
+def test_a_batch_of_new_keys_leaves_every_stored_file_as_it_is(spark, rows, tmp_path):
+    from pathlib import Path
+
+    from tarnlake.sinks.ranges import compact_ranges, file_list, read_ranges, remove_unlisted, touched_files, upsert_ranges
+
+    path = str(tmp_path / "fact")
+
+    def day(low, high, text="v"):
+        return spark.range(low, high).selectExpr("id AS k", f"concat('{text}', id) AS v", "CAST(id % 7 AS INT) AS n")
+
+    first = upsert_ranges(day(0, 40000).repartition(4), path, ["k"], ["v", "n"])
+    assert first.read == 40000 and first.changed.count() == 40000
+    assert {r[0] for r in first.changed.select("merge_action").distinct().collect()} == {"insert"}
+
+    def files():
+        return {f: (f.stat().st_mtime_ns, f.stat().st_size) for f in Path(path, "files").rglob("part-*.parquet")}
+
+    old = files()
+    # New ids, as every day brings: no stored file is read, none is replaced.
+    assert touched_files(file_list(spark, path), day(40000, 41000), "k").isEmpty()
+    assert upsert_ranges(day(40000, 41000), path, ["k"], ["v", "n"]).changed.count() == 1000
+    now = files()
+    assert old.items() <= now.items() and len(now) > len(old)
+    # The scan opens what the list names and joins nothing.
+    table = read_ranges(spark, path, ["k"])
+    named = {r.file for r in file_list(spark, path).collect()}
+    assert {"/".join(f.split("/")[-2:]) for f in table.inputFiles()} == named
+    assert "Join" not in table._jdf.queryExecution().executedPlan().toString()
+    assert table.count() == 41000
+
+    # Changed values become overrides; an equal row changes nothing.
+    mixed = day(5, 8, "new").unionByName(day(9, 10)).unionByName(day(90000, 90001))
+    done = upsert_ranges(mixed, path, ["k"], ["v", "n"])
+    assert done.read == 5 and sorted((r.k, r.merge_action) for r in done.changed.collect()) == [
+        (5, "update"), (6, "update"), (7, "update"), (90000, "insert")]
+    assert now.items() <= files().items()
+    upsert_ranges(day(6, 7, "newer"), path, ["k"], ["v", "n"])
+    before = rows(read_ranges(spark, path, ["k"]))
+    assert len(before) == 41001 and rows(read_ranges(spark, path, ["k"]).filter("k IN (5, 6, 8, 90000)")) == [
+        (5, "new5", 5), (6, "newer6", 6), (8, "v8", 1), (90000, "v90000", 1)]
+    assert upsert_ranges(mixed.filter("k <> 6"), path, ["k"], ["v", "n"]).changed.isEmpty()
+
+    # Folding rewrites what the overrides touch and gives the same rows.
+    kept = files()
+    assert compact_ranges(spark, path, ["k"], small_rows=0) >= 3
+    assert rows(read_ranges(spark, path, ["k"])) == before and kept.items() <= files().items()
+    assert file_list(spark, path).filter("overrides").isEmpty()
+    assert remove_unlisted(spark, path) >= 3 and rows(read_ranges(spark, path, ["k"])) == before
+    assert compact_ranges(spark, path, ["k"], small_rows=0) == 0
+
+
+def test_files_are_found_by_block_where_ranges_overlap(spark, tmp_path):
+    from tarnlake.sinks.ranges import file_list, touched_files, upsert_ranges
+
+    path = str(tmp_path / "fact")
+    wide = spark.createDataFrame([(1, "a"), (10**9, "b")], "k long, v string")
+    upsert_ranges(wide, path, ["k"], ["v"])
+    listed = file_list(spark, path)
+    inside = spark.createDataFrame([(5 * 10**8, "c")], "k long, v string")
+    # Inside the range of a file that spans both, but in no block of it.
+    assert touched_files(listed, inside, "k").isEmpty()
+    assert touched_files(listed, inside.withColumn("k", inside["k"] * 2), "k").count() == 1
+    # Files without blocks count by range alone.
+    from pyspark.sql import functions as F
+    whole = listed.withColumn("blocks", F.lit(None).cast("array<bigint>")).withColumns({"low": F.lit(1).cast("long"), "high": F.lit(10**9).cast("long")})
+    assert touched_files(whole, inside, "k").count() == whole.count()
+
+
+def test_ranges_of_odd_tables(spark, rows, tmp_path):
+    from tarnlake.sinks.ranges import exists, read_ranges, upsert_ranges
+
+    schema, keys = "a string, b date, v double", ["a", "b"]
+
+    def frame(*values):
+        return spark.createDataFrame([(a, __import__("datetime").date(2024, 1, d), v) for a, d, v in values], schema)
+
+    path = str(tmp_path / "empty")
+    assert not exists(spark, path)
+    assert upsert_ranges(frame(), path, keys, ["v"]).read == 0
+    assert exists(spark, path) and rows(read_ranges(spark, path, keys)) == []
+    assert upsert_ranges(frame(("x", 1, None), ("x", 2, 1.0), ("y", 1, 2.0)), path, keys, ["v"]).changed.count() == 3
+    again = upsert_ranges(frame(("x", 1, None), ("x", 2, None), ("z", 1, 5.0)), path, keys, ["v"])
+    assert sorted((r.a, r.b.day, r.merge_action) for r in again.changed.collect()) == [("x", 2, "update"), ("z", 1, "insert")]
+    assert [(r.a, r.b.day, r.v) for r in read_ranges(spark, path, keys).orderBy("a", "b").collect()] == [
+        ("x", 1, None), ("x", 2, None), ("y", 1, 2.0), ("z", 1, 5.0)]
+    assert upsert_ranges(frame(), path, keys, ["v"]).changed.isEmpty()
+    for bad in (frame(("q", 1, 1.0), ("q", 1, 2.0)),):
+        for place in (path, str(tmp_path / "new")):
+            with pytest.raises(Exception, match="several rows for one key"):
+                upsert_ranges(bad, place, keys, ["v"])
+    assert not exists(spark, str(tmp_path / "new")) and read_ranges(spark, path, keys).count() == 4
+    with pytest.raises(ValueError, match="columns differ"):
+        upsert_ranges(frame(("q", 1, 1.0)).withColumnRenamed("v", "w"), path, keys, ["w"])

@@ -25,11 +25,20 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write once to the shared folder and read back: short lineage that survives lost executors."""
     path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, compression=compression)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def freed(*steps: DataFrame) -> None:
+    """Delete stored steps that nothing reads any more: all that was made from them is stored itself."""
+    for df in steps:
+        hadoop = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        hadoop.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from tarnlake.llm import textvec
-from tarnlake.llm.common import need, stored
+from tarnlake.llm.common import freed, need, stored
 from tarnlake.llm.linking import link_by_buckets, shared_postings
 
 
@@ -107,16 +107,22 @@ def repeated_paragraphs(
     # Equal paragraphs meet here once per task, however many copies there are.
     nodes = stored(signed.groupBy("n", "f1", "f2").agg(
         F.min(place).alias("node"), F.count("*").alias("copies"), F.first("tokens").alias("tokens")), "paragraph-nodes")
+    lines = stored(signed.drop("tokens"), "lines")
+    freed(signed)
     postings = stored(shared_postings(nodes.select("node", F.explode(F.array_distinct("tokens")).alias("token"))), "postings")
+    names = stored(nodes.drop("tokens"), "paragraph-names")
+    freed(nodes)
     wanted = stored(postings.select("node.doc_id").distinct(), "candidates")
     sets = signatures(docs.join(wanted, "doc_id", "left_semi"), min_words, size, bands, rows, text, seed, True)
     sets = sets.select(place.alias("node"), "tokens").join(postings.select("node").distinct(), "node", "left_semi")
-    groups = link_by_buckets(postings, stored(sets.dropDuplicates(["node", "tokens"]), "sets"), percent)
-    placed = stored(nodes.select("n", "f1", "f2", "node", "copies").join(groups, "node", "left").select(
+    sets = stored(sets.dropDuplicates(["node", "tokens"]), "sets")
+    groups = link_by_buckets(postings, sets, percent)
+    placed = stored(names.select("n", "f1", "f2", "node", "copies").join(groups, "node", "left").select(
         "n", "f1", "f2", "copies", F.coalesce("root", "node").alias("root")), "placed")
+    freed(postings, wanted, sets, names)
     sizes = placed.groupBy("root").agg(F.sum("copies").alias("cluster_size")).filter("cluster_size > 1")
     clusters = placed.join(sizes, "root").select("n", "f1", "f2", "root", "cluster_size")
-    return signed.select("doc_id", "paragraph", "n_words", "n", "f1", "f2").join(clusters, ["n", "f1", "f2"]).select(
+    return lines.select("doc_id", "paragraph", "n_words", "n", "f1", "f2").join(clusters, ["n", "f1", "f2"]).select(
         "doc_id", "paragraph", "n_words", F.col("root.doc_id").alias("first_doc_id"), F.col("root.paragraph").alias("first_paragraph"),
         "cluster_size", (place != F.col("root")).alias("removed"))
 
@@ -217,15 +223,22 @@ def repeated_passages(docs: DataFrame, least: int = 50, text: str = "text") -> D
     texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("t"))
     place = F.struct("doc_id", "at")
     shared = lowest_runs(texts, least).groupBy("mark").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("mark")
-    cut = stored(chunks(texts, least, docs.sparkSession.sparkContext.broadcast(bitmap(shared))), "chunks")
-    nodes = stored(cut.groupBy("c").agg(F.min(place).alias("node"), F.count("*").alias("copies"), F.first("windows").alias("windows")), "chunk-nodes")
+    found = stored(chunks(texts, least, docs.sparkSession.sparkContext.broadcast(bitmap(shared))), "chunks")
+    # A task hands on one row for each chunk it met, whatever the number of copies.
+    nodes = stored(found.groupBy("c").agg(F.min(place).alias("node"), F.count("*").alias("copies"), F.first("windows").alias("windows")), "chunk-nodes")
+    cut = stored(found.select("c", "doc_id", "at"), "chunk-places")
+    freed(found)
     opened = nodes.select("c", "copies", "node.doc_id", "node.at", F.posexplode("windows").alias("i", "h"))
-    firsts = opened.groupBy("h").agg(F.min(F.struct("doc_id", (F.col("at") + F.col("i")).alias("at"))).alias("f"), F.sum("copies").alias("n")).filter("n > 1")
+    # Stored, so that a window that very many nodes share is split in the join.
+    firsts = stored(opened.groupBy("h").agg(
+        F.min(F.struct("doc_id", (F.col("at") + F.col("i")).alias("at"))).alias("f"), F.sum("copies").alias("n")).filter("n > 1"), "first-windows")
     # Runs of windows of a node that follow one first occurrence.
     at = opened.select("c", "i", "h").join(firsts.select("h", "f"), "h").select(
         "c", "i", F.col("f.doc_id").alias("first_doc_id"), (F.col("f.at") - F.col("i")).alias("shift"))
     row = F.row_number().over(W.Window.partitionBy("c", "first_doc_id", "shift").orderBy("i"))
-    runs = at.withColumn("run", F.col("i") - row).groupBy("c", "first_doc_id", "shift", "run").agg(F.min("i").alias("i"), F.count("*").alias("n"))
+    runs = stored(at.withColumn("run", F.col("i") - row).groupBy("c", "first_doc_id", "shift", "run").agg(
+        F.min("i").alias("i"), F.count("*").alias("n")), "runs")
+    freed(nodes, firsts)
     # The same runs in every copy of the node; those that touch are one.
     placed = cut.select("c", "doc_id", "at").join(runs, "c").select(
         "doc_id", "first_doc_id", (F.col("at") - F.col("shift")).alias("away"), (F.col("at") + F.col("i")).alias("start"),
@@ -238,6 +251,7 @@ def repeated_passages(docs: DataFrame, least: int = 50, text: str = "text") -> D
     gone = stored(joined.select(
         "doc_id", F.col("start").cast("int").alias("at"), (F.col("end") - F.col("start") + least - 1).cast("long").alias("n_words"),
         "first_doc_id", (F.col("start") - F.col("away")).cast("int").alias("first_at")), "passages")
+    freed(cut, runs)
     first = stored(gone.groupBy("first_doc_id", "first_at").agg(F.max("n_words").alias("most"), (F.count("*") + 1).alias("cluster_size")), "first-passages")
     number = (-1 - F.col("first_at")).alias("first_paragraph")
     return gone.join(first, ["first_doc_id", "first_at"]).select(

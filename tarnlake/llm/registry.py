@@ -94,7 +94,8 @@ def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return token_alignment.alignment(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Query] = {

@@ -14,7 +14,7 @@ are never cut: a long one makes a batch by itself. Other columns are ignored, an
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +42,13 @@ def file_bytes(path: str) -> bytes:
         return f.read()
 
 
+def lists(parts: list[np.ndarray]) -> pa.LargeListArray:
+    """One list of ids for each array."""
+    cuts = np.append(0, np.cumsum([len(p) for p in parts], dtype=np.int64))
+    flat = np.concatenate(parts).astype(np.int32, copy=False) if parts else np.zeros(0, np.int32)
+    return pa.LargeListArray.from_arrays(pa.array(cuts), pa.array(flat))
+
+
 class Side:
     """One tokenizer: ids of texts, and the bytes that each id stands for."""
 
@@ -51,28 +58,46 @@ class Side:
         self.bytes = pa.array(entries, pa.large_binary())
         self.lengths = pc.binary_length(self.bytes)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> pa.LargeListArray:
         raise NotImplementedError
 
 
+def byte_ranks(file: bytes) -> dict[bytes, int]:
+    """Bytes and id of every entry of a byte-level file but added ones, if ids are ranks too.
+
+    Then merging the pair whose join has the lowest id is merging by the file's list: ids rise along the list, and every entry is what
+    the list makes of its own bytes, so two neighbours that spell an entry are always the pair the list names."""
+    import tokenizers
+
+    described = json.loads(file)
+    model, added = described["model"], {t["content"] for t in described["added_tokens"]}
+    plain = described["normalizer"] is None and (described["pre_tokenizer"] or {}).get("type") == "ByteLevel"
+    if not plain or model["type"] != "BPE" or described["pre_tokenizer"]["add_prefix_space"] or any(
+            model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+        raise ValueError("not a plain byte-level vocabulary")
+    letters = {c: b for b, c in byte_letters().items()}
+    entries = {t: k for t, k in model["vocab"].items() if t not in added}
+    merged = [entries["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    library = tokenizers.Tokenizer.from_str(file.decode()).model
+    if merged != sorted(merged) or any([x.id for x in library.tokenize(t)] != [k] for t, k in entries.items()):
+        raise ValueError("ids of this vocabulary are no ranks")
+    return {bytes(letters[c] for c in t): k for t, k in entries.items()}
+
+
 class ByteLevel(Side):
-    """A byte-level vocabulary of the tokenizers library; special strings in texts are plain text."""
+    """A byte-level vocabulary; special strings in texts are plain text."""
 
-    def __init__(self, file: bytes):
-        import tokenizers
-
-        self.model = tokenizers.Tokenizer.from_str(file.decode())
-        self.model.encode_special_tokens = True
-        self.model.no_truncation()
-        self.model.no_padding()
-        letters = {c: b for b, c in byte_letters().items()}
-        entries = [b"?"] * self.model.get_vocab_size()
-        for token, k in self.model.get_vocab().items():
-            entries[k] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        import tiktoken
+
+        self.model = tiktoken.Encoding("first", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        entries = [b"?"] * (max(ranks.values()) + 1)
+        for token, k in ranks.items():
+            entries[k] = token
         super().__init__(entries)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> pa.LargeListArray:
+        return lists([self.model.encode_to_numpy(" " + t, disallowed_special=()) for t in texts])
 
 
 class Pieces(Side):
@@ -87,8 +112,8 @@ class Pieces(Side):
         super().__init__([
             bytes([int(p[3:5], 16)]) if self.model.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(names)])
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> pa.LargeListArray:
+        return pa.array(self.model.encode(texts, num_threads=1), pa.large_list(pa.int32()))
 
 
 def spelled(ids: pa.LargeListArray, side: Side) -> tuple[memoryview, np.ndarray]:
@@ -124,9 +149,8 @@ def align(a: pa.LargeListArray, b: pa.LargeListArray, first: Side, second: Side)
     """Groups, links, digest and link ids of documents whose tokens spell the same bytes on both sides."""
     n, flat_a, flat_b = len(a), a.flatten(), b.flatten()
     met = placed(a, first, "ia").join(placed(b, second, "ib"), keys=["doc", "end"], join_type="full outer", use_threads=False)
-    met = met.sort_by([("doc", "ascending"), ("end", "ascending")])
-    doc = met["doc"].to_numpy()
-    has_a, has_b = (met[c].is_valid().to_numpy() for c in ("ia", "ib"))
+    order = np.lexsort((met["end"].to_numpy(), met["doc"].to_numpy()))
+    doc, has_a, has_b = met["doc"].to_numpy()[order], met["ia"].is_valid().to_numpy()[order], met["ib"].is_valid().to_numpy()[order]
     # A token covers the stretches from the end before its own up to its own.
     link_a = flat_a.take(pa.array(np.cumsum(has_a) - has_a))
     link_b = flat_b.take(pa.array(np.cumsum(has_b) - has_b))
@@ -139,20 +163,18 @@ def align(a: pa.LargeListArray, b: pa.LargeListArray, first: Side, second: Side)
     return groups, links, [hashlib.sha256(x.as_buffer()).hexdigest() for x in whole], link_a, link_b, np.append(0, np.cumsum(links))
 
 
-def aligned(docs: DataFrame, first: bytes, second: bytes, text: str = "text") -> DataFrame:
+def aligned(docs: DataFrame, first: bytes, pattern: str, second: bytes, text: str = "text") -> DataFrame:
     """Every row with its counts, its digest and the ids of its links in order; first: a byte-level file, second: a piece model."""
-    shared = docs.sparkSession.sparkContext.broadcast((first, second))
+    shared = docs.sparkSession.sparkContext.broadcast((byte_ranks(first), second))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        one, two = ByteLevel(shared.value[0]), Pieces(shared.value[1])
-        kind = pa.large_list(pa.int32())
+        one, two = ByteLevel(shared.value[0], pattern), Pieces(shared.value[1])
         for batch in batches:
             for span, _, _ in textvec.pieces(batch.column(2), 1 << 20):
                 texts = batch.column(2)[span].to_pylist()
                 n, filled = len(texts), [k for k, t in enumerate(texts) if t]
                 some = [texts[k] for k in filled]
-                a, b = (pa.array(s.encode(some), kind) for s in (one, two))
+                a, b = one.encode(some), two.encode(some)
                 wanted = [b" " + t.encode() for t in some]
                 good = faithful(a, one, wanted) & faithful(b, two, wanted)
                 a, b, at = a.filter(pa.array(good)), b.filter(pa.array(good)), np.array(filled, np.int64)[good]
@@ -237,10 +259,11 @@ def with_sums_by_join(rows: DataFrame, pairs: DataFrame) -> DataFrame:
         *OWN, F.coalesce("n_best", zero).alias("n_best"), F.coalesce("count_sum", zero).alias("count_sum"))
 
 
-def alignment(docs: DataFrame, first: str, second: str, text: str = "text", broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
-    """doc_id, the counts and the digest of every row; first: path of a byte-level file, second: of a piece model."""
+def alignment(docs: DataFrame, first: str, pattern: str, second: str, text: str = "text", broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
+    """doc_id, the counts and the digest of every row; first: path of a byte-level file, which parts texts by
+    ``pattern``, second: of a piece model."""
     need(docs, "doc_id", text)
-    rows = stored(aligned(docs, file_bytes(first), file_bytes(second), text), "aligned")
+    rows = stored(aligned(docs, file_bytes(first), pattern, file_bytes(second), text), "aligned", "zstd")
     pairs = pair_counts(rows)
     few = pairs.count() <= broadcast_pairs
     return (with_sums_by_lookup if few else with_sums_by_join)(rows, pairs).select(

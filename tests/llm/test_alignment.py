@@ -12,6 +12,7 @@ from tarnlake.llm.common import bounded_batches, stored
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 FIRST, SECOND = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+PATTERN = public_tokenizers.PATTERN
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
@@ -96,23 +97,23 @@ def test_every_column_equals_the_plain_reading(spark, docs, prose, plain):
     rows = odd_texts(prose)
     want = plain.rows(rows)
     assert sum(r[1] > 0 for r in want) > 12 and any(r[1] == 0 and r[0] == 8 for r in want)
-    assert found(token_alignment.alignment(docs(rows).repartition(3), FIRST, SECOND)) == want
+    assert found(token_alignment.alignment(docs(rows).repartition(3), FIRST, PATTERN, SECOND)) == want
 
 
 def test_the_way_beyond_the_broadcast_gives_the_same(spark, docs, prose, plain):
     rows = odd_texts(prose)
-    assert found(token_alignment.alignment(docs(rows), FIRST, SECOND, broadcast_pairs=0)) == plain.rows(rows)
+    assert found(token_alignment.alignment(docs(rows), FIRST, PATTERN, SECOND, broadcast_pairs=0)) == plain.rows(rows)
 
 
 def test_tables_without_tokens(spark, docs):
     for rows in ([], [(1, None), (None, ""), (2, "a▁b")]):
         for bound in (0, 10):
-            assert found(token_alignment.alignment(docs(rows), FIRST, SECOND, broadcast_pairs=bound)) == sorted(
+            assert found(token_alignment.alignment(docs(rows), FIRST, PATTERN, SECOND, broadcast_pairs=bound)) == sorted(
                 ((d, 0, 0, 0, 0, 0, 0, "") for d, _ in rows), key=str)
 
 
 def test_partial_counts_are_handed_on_when_many(spark, docs, prose, monkeypatch):
-    rows = stored(token_alignment.aligned(docs([(k, prose(k, 300)) for k in range(30)]), token_alignment.file_bytes(FIRST), token_alignment.file_bytes(SECOND)), "t")
+    rows = stored(token_alignment.aligned(docs([(k, prose(k, 300)) for k in range(30)]), token_alignment.file_bytes(FIRST), PATTERN, token_alignment.file_bytes(SECOND)), "t")
     whole = token_alignment.pair_counts(rows)
     monkeypatch.setattr(token_alignment, "HELD_PAIRS", 10)
     assert token_alignment.pair_counts(rows).exceptAll(whole).isEmpty()
@@ -127,7 +128,21 @@ def test_whole_query_on_the_small_table(spark, plain):
 
 
 def test_entries_are_bytes_of_the_vocabularies():
-    one, two = token_alignment.ByteLevel(token_alignment.file_bytes(FIRST)), token_alignment.Pieces(token_alignment.file_bytes(SECOND))
-    assert len(one.bytes) == 50257 and len(two.bytes) == 32000
+    one = token_alignment.ByteLevel(token_alignment.byte_ranks(token_alignment.file_bytes(FIRST)), PATTERN)
+    two = token_alignment.Pieces(token_alignment.file_bytes(SECOND))
+    assert len(one.bytes) == 50256 and len(two.bytes) == 32000
     assert {bytes([b]) for b in range(256)} <= set(one.bytes.to_pylist())
     assert two.bytes[3 + 65].as_py() == b"A" and isinstance(one.lengths, pa.Array)
+
+
+def test_ids_serve_as_ranks_over_the_whole_code_space(plain):
+    """The first side's ids are those of the library, for every letter in several surroundings."""
+    side = token_alignment.ByteLevel(token_alignment.byte_ranks(token_alignment.file_bytes(FIRST)), PATTERN)
+    letters = [chr(c) for c in (*range(0xD800), *range(0xE000, 0x20000))]
+    texts = ["".join(f"a{c}b {c}{c} 1{c}2 ?{c}! {c}'s\n{c} " for c in letters[k : k + 4]) for k in range(0, len(letters), 4)]
+    library = plain.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+    assert [t for t, ids, e in zip(texts, side.encode(texts).to_pylist(), library) if ids != e.ids] == []
+    broken = token_alignment.file_bytes(FIRST).replace(b'"ByteLevel","add_prefix_space":false', b'"ByteLevel","add_prefix_space":true')
+    if broken != token_alignment.file_bytes(FIRST):
+        with pytest.raises(ValueError, match="plain"):
+            token_alignment.byte_ranks(broken)

@@ -67,6 +67,18 @@ def test_token_counts_equal_the_library(docs, prose):
     assert got[0].kept == "x"
 
 
+def test_every_letter_is_lowered_as_by_the_library():
+    """The whole code space but surrogates, each letter between two others."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, count = Tokenizer.from_file(path), token_counts.TokenCounter(token_counts.load_merges(path))
+    letters = [chr(c) for c in (*range(0xD800), *range(0xE000, 0x20000))]
+    texts = ["".join(f"a{c}b " for c in letters[k : k + 8]) for k in range(0, len(letters), 8)]
+    wrong = [t for t, e in zip(texts, library.encode_batch(texts, add_special_tokens=False)) if count(t) != len(e.ids)]
+    assert wrong == []
+
+
 def test_merging_pops_the_lowest_rank_first():
     ranks = {("b", "c"): 0, ("a", "b"): 1, ("a", "bc"): 2, ("abc", "a"): 3}
     assert token_counts.merge_count(list("abcabc"), ranks) == 4

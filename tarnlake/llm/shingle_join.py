@@ -10,8 +10,8 @@ Shared runs alone, as of a passage found in many documents, fill hardly any bloc
 The join is exact up to 64-bit hashes. A size class also takes the sets just below it, for pairs across a border.
 
 Null and blank texts have empty sets and link with nothing; fewer words than three are one run. A row without ``doc_id``
-links nothing and has no component. Rows of one ``doc_id`` are placed by their own text. Other columns are
-ignored, and an empty table gives an empty one.
+links nothing and has no component. Rows of one ``doc_id`` are placed by their own text: a node is an id with a set. Other columns
+are ignored, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from tarnlake.llm import textvec
 from tarnlake.llm.common import need, small, stored
@@ -77,14 +78,18 @@ def blocks_of(hashes: np.ndarray, percent: int) -> list[tuple[int, int, list[int
     return out
 
 
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string"))
+
+
 def signatures(docs: DataFrame, percent: int, size: int, text: str) -> DataFrame:
-    """doc_id, n, f1, f2 (two hashes of the whole set) and the blocks of every document."""
+    """doc_id, th (hash of the text), n, f1, f2 (two hashes of the whole set) and the blocks of every document."""
 
     kind = pa.list_(pa.struct([("m", pa.int32()), ("free", pa.int32()), ("tokens", pa.list_(pa.int64()))]))
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in textvec.pieces(batch.column(1)):
+            for rows, data, offsets in textvec.pieces(batch.column(2)):
                 n = len(offsets) - 1
                 h, ends = textvec.sets(*textvec.shingles(*textvec.words(data, offsets), size), n)
                 found, f1, f2 = [], [], []
@@ -94,36 +99,39 @@ def signatures(docs: DataFrame, percent: int, size: int, text: str) -> DataFrame
                         f1.append(textvec.mix(h[a:b]).sum(dtype=np.uint64))
                         f2.append(textvec.mix(h[a:b] ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0)[rows], pa.array(np.diff(ends)), pa.array(np.array(f1, np.uint64).view(np.int64)),
+                    batch.column(0)[rows], batch.column(1)[rows], pa.array(np.diff(ends)), pa.array(np.array(f1, np.uint64).view(np.int64)),
                     pa.array(np.array(f2, np.uint64).view(np.int64)), pa.array(found, kind)],
-                    names=["doc_id", "n", "f1", "f2", "blocks"])
+                    names=["doc_id", "th", "n", "f1", "f2", "blocks"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("t")).mapInArrow(
-        signed, "doc_id long, n long, f1 long, f2 long, blocks array<struct<m:int,free:int,tokens:array<long>>>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(text).alias("th"), F.col(text).cast("string").alias("t")).mapInArrow(
+        signed, "doc_id long, th long, n long, f1 long, f2 long, blocks array<struct<m:int,free:int,tokens:array<long>>>")
 
 
 def token_sets(docs: DataFrame, size: int, text: str) -> DataFrame:
-    """node and tokens: the distinct shingle hashes of every document."""
+    """node (id and hash of the set) and tokens: the distinct shingle hashes of every document."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in textvec.pieces(batch.column(1)):
                 h, ends = textvec.sets(*textvec.shingles(*textvec.words(data, offsets), size), len(offsets) - 1)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[rows], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h.view(np.int64)))],
-                    names=["node", "tokens"])
+                with np.errstate(over="ignore"):
+                    f1 = [textvec.mix(h[a:b]).sum(dtype=np.uint64) for a, b in zip(ends[:-1], ends[1:])]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0)[rows], pa.array(np.array(f1, np.uint64).view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h.view(np.int64)))], names=["doc_id", "f1", "tokens"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("t")).mapInArrow(
-        made, "node long, tokens array<long>")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("t")).mapInArrow(
+        made, "doc_id long, f1 long, tokens array<long>")
+    return found.select(F.struct("doc_id", "f1").alias("node"), "tokens")
 
 
-def join_documents(docs: DataFrame, percent: int = 90, size: int = 3, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def rooted(docs: DataFrame, percent: int, size: int, text: str) -> DataFrame:
+    """doc_id, th, n, f1 and root (id and hash of the set of a group's first node) of every row."""
     need(docs, "doc_id", text)
     signed = stored(signatures(docs, percent, size, text), "signatures")
     # Equal sets meet here once per task, however many copies there are.
     nodes = stored(signed.filter("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(
-        F.min("doc_id").alias("node"), F.first("blocks").alias("blocks")), "nodes")
+        F.min(F.struct("doc_id", "f1")).alias("node"), F.first("blocks").alias("blocks")), "nodes")
     rows = nodes.select("node", F.col("n").alias("size"), F.posexplode("blocks").alias("k", "b")).select(
         "node", "size", (F.col("k") > 0).alias("guest"), "b.m", "b.free", F.size("b.tokens").alias("all"), F.explode("b.tokens").alias("token"))
     postings = stored(shared_postings(rows), "postings")
@@ -131,28 +139,39 @@ def join_documents(docs: DataFrame, percent: int = 90, size: int = 3, text: str
     enough = F.col("c") + F.col("free") >= F.col("m") - differ(F.col("size"), F.floor(F.col("size") * 100 / percent), percent)
     wanted = stored(postings.groupBy("node", "m", "free", "size").agg(F.count("*").alias("c")).filter(enough).select("node").distinct(), "candidates")
     postings = stored(postings.join(wanted, "node", "left_semi"), "postings")
-    chosen = docs.join(small(wanted.withColumnRenamed("node", "doc_id"), BROADCAST_ROWS), "doc_id", "left_semi")
-    sets = stored(token_sets(chosen, size, text).dropDuplicates(["node", "tokens"]), "sets")
+    chosen = docs.join(small(stored(wanted.select("node.doc_id").distinct(), "candidate-ids"), BROADCAST_ROWS), "doc_id", "left_semi")
+    sets = token_sets(chosen, size, text).join(wanted, "node", "left_semi")
+    sets = stored(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
     groups = link_by_matrix(postings, sets, percent)
     roots = nodes.select("n", "f1", "f2", "node").join(groups, "node", "left").select(
         "n", "f1", "f2", F.coalesce("root", "node").alias("root"))
-    return signed.select("doc_id", "n", "f1", "f2").join(roots, ["n", "f1", "f2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"))
+    return signed.select("doc_id", "th", "n", "f1", "f2").join(roots, ["n", "f1", "f2"], "left").select("doc_id", "th", "n", "f1", "root")
 
 
-def representatives(docs: DataFrame, percent: int = 90, size: int = 3, text: str = "text") -> DataFrame:
-    """One document of each group, the one of the smallest id; rows without id stay. All columns are kept."""
-    joined = stored(join_documents(docs, percent, size, text), "joined")
-    gone = small(stored(joined.filter("component_id <> doc_id").select("doc_id").distinct(), "copies"), BROADCAST_ROWS)
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+def join_documents(docs: DataFrame, percent: int = 90, size: int = 3, text: str = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    return rooted(docs, percent, size, text).select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("root.doc_id", "doc_id")).alias("component_id"))
+
+
+def representatives(docs: DataFrame, percent: int = 80, size: int = 5, text: str = "text") -> DataFrame:
+    """One row of each group: of its first node, the text of the lowest hash; rows without id or words stay. All columns are kept."""
+    joined = stored(rooted(docs, percent, size, text).filter("n > 0 and doc_id is not null"), "joined")
+    rows = joined.groupBy("doc_id", "th").agg(F.count("*").alias("copies"), F.first("f1").alias("f1"), F.first("root").alias("root"))
+    first = F.min("th").over(W.Window.partitionBy("doc_id", "f1"))
+    judged = stored(rows.withColumn("stays", (F.struct("doc_id", "f1") == F.col("root")) & (F.col("th") == first)).select(
+        F.col("doc_id").alias("_d"), F.col("th").alias("_th"), "copies", "stays"), "judged")
+    same = (F.col("doc_id").cast("long") == F.col("_d")) & (text_hash(text) == F.col("_th"))
+    gone = small(stored(judged.filter("not stays"), "copies"), BROADCAST_ROWS)
+    left = docs.join(gone, same, "left_anti").select(*docs.columns)
     # The same row given again is a copy as well.
-    again = stored(joined.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    again = stored(judged.filter("stays and copies > 1"), "again")
     if again.isEmpty():
         return left
     again = small(again, BROADCAST_ROWS)
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        left.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", text]))
+    return left.join(again, same, "left_anti").select(*docs.columns).unionByName(
+        left.join(again, same, "left_semi").select(*docs.columns).dropDuplicates(["doc_id", text]))
 
 
 ORACLE = r"""

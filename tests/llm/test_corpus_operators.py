@@ -97,12 +97,23 @@ def test_jaccard_join_equals_brute_force(spark, docs, prose):
     want = roots(sets, links)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in shingle_join.join_documents(docs(rows)).collect()}
     assert got == {i: (len(s), want[i]) for i, s in sets.items()}
-    left = shingle_join.representatives(docs([*rows, rows[0], (None, base[0])]))
+    left = shingle_join.representatives(docs([*rows, rows[0], (None, base[0])]), 90, 3)
     assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted(set(want.values()))
     assert left.filter("doc_id is null").count() == 1 and left.columns == docs(rows).columns
     assert shingle_join.join_documents(docs(rows).limit(0)).count() == 0
 
 
+def test_an_id_with_two_texts_loses_only_the_copy(docs, prose):
+    a, u, v = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(1, a), (2, a), (2, u), (3, u), (3, v), (4, a.upper()), (4, a), (4, a), (5, None), (5, ""), (6, "x"), (6, "y")]
+    for percent, size in ((80, 5), (90, 3)):
+        left = sorted(((r.doc_id, r.text) for r in shingle_join.representatives(docs(rows), percent, size).collect()), key=str)
+        assert left == sorted([(1, a), (2, u), (3, v), (5, None), (5, ""), (6, "x"), (6, "y")], key=str)
+    found = shingle_join.join_documents(docs([(9, u), *rows]))
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == sorted(
+        [(9, 2), (1, 1), (2, 1), (2, 2), (3, 2), (3, 3), (4, 1), (4, 1), (4, 1), (5, 5), (5, 5), (6, 6), (6, 6)])
+
+
 def test_hot_groups_are_compared_in_blocks(spark, prose, monkeypatch):
     monkeypatch.setattr(linking, "MANY", 4)
     monkeypatch.setattr(linking, "BLOCK", 3)
@@ -196,12 +207,32 @@ def test_passages_equal_brute_force_over_all_windows(docs, prose):
     assert paragraph_dedup.repeated_passages(docs(rows).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("size", [1, 2, 3, 10, 257, 5000])
-def test_the_network_permutes(size):
+@pytest.mark.parametrize("span,parts,nulls", [(1, 1, False), (1, 1, True), (2, 1, False), (3, 5, True), (1, 300, True), (257, 1, False), (700, 9, True)])
+def test_the_network_permutes(span, parts, nulls):
+    places = token_shards.Places(span, parts, nulls)
+    whole = [(0, n, p) for n in range(span) for p in range(parts)] + [(1, 0, p) for p in range(parts) if nulls]
+    out = {}
     for key in ("a", "b"):
-        assert sorted(token_shards.permute(np.arange(size), size, key)) == list(range(size))
-    if size > 100:
-        assert (token_shards.permute(np.arange(size), size, "a") != token_shards.permute(np.arange(size), size, "b")).any()
+        halves = places.halves(*np.array(whole, np.uint64).T)
+        assert places.inside(*halves).all()
+        out[key] = list(zip(*(x.tolist() for x in places.permute(*halves, key))))
+        assert sorted(out[key]) == sorted(zip(*(x.tolist() for x in halves)))
+    assert len(whole) < 100 or out["a"] != out["b"]
+
+
+def test_shards_hold_ids_as_far_apart_as_they_may_be(spark, docs, prose):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    r = random.Random(1)
+    rows = [(-(2**63), "lowest"), (2**63 - 1, "highest"), (None, "nobody"), (0, prose(1, 900)), *((r.randrange(-(2**63), 2**63), prose(k, 20)) for k in range(60))]
+    folder = fresh_folder(spark, "shards")
+    sequences, shards = token_shards.write_shards(docs(rows), folder, path, public_tokenizers.PATTERN, length=16, shard_text=3000)
+    manifest = shards.collect()
+    read = [(s, d, p) for s, d, p, _ in token_shards.read_sequences(folder, manifest, 16)]
+    assert {d for _, d, _ in read} == {d for d, _ in rows} and [s for s, *_ in read] == list(range(len(read)))
+    assert {(x.slot, x.doc_id, x.part) for x in sequences.collect()} == set(read)
+    # Shards are ranges of a scattered order: none is empty or holds most.
+    assert len(manifest) >= 3 and max(m.n_rows for m in manifest) < 0.75 * len(read)
+    assert token_shards.id_type(65535) == "<u2" and token_shards.id_type(65536) == "<u4"
 
 
 def test_shards_round_trip_and_resume(spark, docs, prose):
@@ -221,19 +252,18 @@ def test_shards_round_trip_and_resume(spark, docs, prose):
         assert [r[0] for r in read] == list(range(len(read)))
         later = [(s, d, p, t.tolist()) for s, d, p, t in token_shards.read_sequences(folder, manifest, 16, start=40)]
         assert later == read[40:]
-        listed = {(r.slot, r.doc_id or 0, r.part, r.n_tokens) for r in sequences.collect()}
+        listed = {(r.slot, r.doc_id, r.part, r.n_tokens) for r in sequences.collect()}
         assert listed == {(s, d, p, len(t)) for s, d, p, t in read}
         out.append(read)
     assert out[0] == out[1]  # the order does not depend on partitions
     by_doc = collections.defaultdict(list)
     for _, d, p, t in out[0]:
         by_doc[d].append((p, t))
-    for i, t in rows[:31]:
+    for i, t in rows[:33]:
         if i != 7:
-            ids = [x for _, part in sorted(by_doc[i or 0]) for x in part]
-            want = [*encoding.encode_ordinary(t or ""), len(token_shards.load_ranks(path))]
-            assert ids == want if i else ids[: len(want)]
-    assert [s for s, *_ in out[0]] != sorted(range(len(out[0])), key=lambda k: out[0][k][1:3])
+            ids = [x for _, part in sorted(by_doc[i]) for x in part]
+            assert ids == [*encoding.encode_ordinary(t or ""), len(token_shards.load_ranks(path))]
+    assert [s for s, *_ in out[0]] != sorted(range(len(out[0])), key=lambda k: str(out[0][k][1:3]))
     empty, none = token_shards.write_shards(docs(rows).limit(0), fresh_folder(spark, "e"), path, public_tokenizers.PATTERN)
     assert empty.count() == none.count() == 0
 

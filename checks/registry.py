@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import clean, dims, features, gold, governance, jobs, learning, measures, sources
+from checks import clean, dims, features, gold, governance, jobs, learning, measures, refresh, sources
 from checks.common import Registry
 
-MODULES = (sources, dims, clean, gold, features, governance, jobs, measures, learning)
+MODULES = (sources, dims, clean, gold, features, governance, jobs, measures, learning, refresh)
 
 
 def build() -> Registry:

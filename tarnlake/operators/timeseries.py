@@ -69,16 +69,22 @@ def dense_series(
     upper: Column | None = None,
     step: str = "day",
     events: Mapping[str, Column] | None = None,
+    carry: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """``densify`` with what a window would have to add up again: running totals
     (``_cum_<measure>``), the row's position (``_seen``) and the latest date each of
     ``events`` held. Zero periods change none of them, so they are worked out on the
-    rows with data and carried over the stretch."""
+    rows with data and carried over the stretch. A series that begins in the middle takes what lies before it from
+    columns: ``carry`` names them for ``_first`` and the events."""
     running = series_window(entity, date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = {f"_cum_{m}": F.sum(m).over(running) for m in measures}
-    carried["_first"] = F.min(date).over(running)
+    carried, carry = {f"_cum_{m}": F.sum(m).over(running) for m in measures}, carry or {}
+
+    def known(name: str, value: Column, pick) -> Column:
+        return pick(value, F.col(carry[name])) if name in carry else value
+
+    carried["_first"] = F.min(known("_first", F.col(date), F.least)).over(running)
     for name, condition in (events or {}).items():
-        carried[name] = F.max(F.when(condition, F.col(date))).over(running)
+        carried[name] = F.max(known(name, F.when(condition, F.col(date)), F.greatest)).over(running)
     rows = _stretched(df, entity, date, upper, step, carried)
     if step == "day":
         seen = F.datediff(date, "_first") + 1

@@ -8,7 +8,7 @@ partitioning and order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,16 +66,25 @@ def daily_product(star: Star) -> DataFrame:
     return dated_lines(star).groupBy(PRODUCT, DAY).agg(F.sum("OrderQty").cast("long").alias("DailyQty"))
 
 
+# Days that a day's features look back, itself included: the longest frame and one more for the total before it.
+DEMAND_REACH = 366
+
+
 def demand_product_daily(star: Star, keep: Sequence[str] | None = None) -> DataFrame:
     """Daily demand per product: trailing sums and means, sale frequency, lags.
 
     ``keep`` limits the output; unused windows are then pruned by the optimizer.
     """
+    return demand_of_days(daily_product(star), keep)
+
+
+def demand_of_days(daily: DataFrame, keep: Sequence[str] | None = None, carry: Mapping[str, str] | None = None) -> DataFrame:
+    """The same from sums per product and day. Rows may begin in the middle of a series: ``carry`` as in ``dense_series``."""
     spans = (7, 30, 90, 365)
     steps = (1, 7, 30, 90, 365)
-    sold = daily_product(star).withColumn("_sold", (F.col("DailyQty") > 0).cast("long"))
+    sold = daily.withColumn("_sold", (F.col("DailyQty") > 0).cast("long"))
     days = dense_series(
-        sold, [PRODUCT], DAY, ["DailyQty", "_sold"], events={"_last_sale": F.col("DailyQty") > 0}
+        sold, [PRODUCT], DAY, ["DailyQty", "_sold"], events={"_last_sale": F.col("DailyQty") > 0}, carry=carry
     )
     days = trailing(
         days, [PRODUCT], DAY,

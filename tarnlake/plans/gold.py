@@ -25,21 +25,25 @@ PROFIT_GRAIN = (
 ORDER_KEYS = ("OrderDate_SK", "Location_SK", "Currency_SK", "Territory_SK")
 
 
-def profit_sums(star: Star) -> DataFrame:
-    """Revenue and cost with every attribute the views group by.
-
-    Lines meet only their order's integer keys and are summed per key combination; names join the
-    sums. Both measures are linear in the summed columns, so nothing changes.
-    """
-    sums = (
+def key_sums(star: Star) -> DataFrame:
+    """Quantity and amount per combination of the keys that the views look up."""
+    return (
         star["fact_sales_order_detail"]
         .select("OrderID", "Product_SK", "OrderQty", "LineTotal")
         .join(star["fact_sales_order"].select("OrderID", *ORDER_KEYS), "OrderID")
         .groupBy("Product_SK", *ORDER_KEYS)
         .agg(F.sum("OrderQty").alias("OrderQty"), F.sum("LineTotal").alias("LineTotal"))
     )
+
+
+def profit_sums(star: Star, sums: DataFrame | None = None) -> DataFrame:
+    """Revenue and cost with every attribute the views group by.
+
+    Lines meet only their order's integer keys and are summed per key combination, or such ``sums`` are kept up to date
+    elsewhere; names join the sums. Both measures are linear in the summed columns, so nothing changes.
+    """
     return (
-        sums
+        (key_sums(star) if sums is None else sums)
         .join(star["dim_location"].select("Location_SK", "CountryName", "StateProvinceName"), "Location_SK")
         .join(star["dim_product"], "Product_SK")
         .join(star["dim_date"], F.col("OrderDate_SK") == F.col("DateKey"))
@@ -61,8 +65,8 @@ def profit_sums(star: Star) -> DataFrame:
     )
 
 
-def profitability(star: Star) -> DataFrame:
-    sums = profit_sums(star).groupBy(*PROFIT_GRAIN).agg(
+def profitability(star: Star, sums: DataFrame | None = None) -> DataFrame:
+    sums = profit_sums(star, sums).groupBy(*PROFIT_GRAIN).agg(
         F.sum("LineRevenue").alias("Revenue"), F.sum("LineCost").alias("Cost")
     )
     return sums.withColumn("Profit", F.col("Revenue") - F.col("Cost")).select(

@@ -3,8 +3,8 @@
 Rows are range-partitioned by key. The list holds, for each file, the lowest and highest key, its rows, the blocks of keys it
 holds, and whether its rows are new keys (base) or newer values of stored ones (overrides). A load reads only base files that may hold
 one of its keys, by range and block, and adds one set of files with new keys and one with overrides. Readers take the newest override of a
-key before its base row; without overrides they scan base files and join nothing. ``compact_ranges`` folds the overrides into the
-base files they touch. The list is written last and as a whole version, so readers see a load entirely or not at all, and a
+key before its base row; without overrides they scan base files and join nothing. An override may also say that a row is gone.
+``compact_ranges`` folds the overrides into the base files they touch. The list is written last and as a whole version, so readers see a load entirely or not at all, and a
 load that is run again after a failure gives the same table. One writer at a time.
 """
 
@@ -24,15 +24,17 @@ from tarnlake.sinks import tables as sink
 
 # Keys of a block: 2 to this power; blocks a file may list before it counts as holding any key of its range.
 BLOCK_BITS, MOST_BLOCKS = 12, 4096
-LOAD = "_load"
+LOAD, GONE = "_load", "_gone"
 
 
 @dataclass
 class Upsert:
-    """What a load did: rows it brought, and the inserted and updated ones with their ``merge_action``."""
+    """What a load did: rows it brought, the inserted and updated ones with their ``merge_action``, and what the updated
+    and removed ones were before."""
 
     read: int
     changed: DataFrame
+    before: DataFrame
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -66,6 +68,8 @@ def _add_files(rows: DataFrame, path: str, keys: Sequence[str], overrides: bool,
     target, kind = f"{path.rstrip('/')}/files/{folder}", rows.schema[keys[0]].dataType
     ranged = rows.repartitionByRange(*keys)
     ranged = unique_source(ranged, keys) if check else ranged.sortWithinPartitions(*keys)
+    if GONE not in rows.columns:
+        ranged = ranged.withColumn(GONE, F.lit(False))
     ranged.withColumn(LOAD, F.lit(load)).write.mode("overwrite").parquet(target)
     block = _block(keys[0], kind)
     written = spark.read.schema(rows.schema).parquet(target).select(F.col("_metadata.file_name").alias("name"), keys[0], block.alias("block"))
@@ -90,7 +94,7 @@ def _publish(spark: SparkSession, path: str, schema: T.StructType, parts: Sequen
 
 
 def _open(spark: SparkSession, path: str, schema: T.StructType, files: Sequence[str]) -> DataFrame:
-    stored = T.StructType([*schema.fields, T.StructField(LOAD, T.IntegerType())])
+    stored = T.StructType([*schema.fields, T.StructField(GONE, T.BooleanType()), T.StructField(LOAD, T.IntegerType())])
     if not files:
         return spark.createDataFrame([], stored)
     return spark.read.schema(stored).parquet(*[f"{path.rstrip('/')}/files/{f}" for f in files])
@@ -108,14 +112,18 @@ def _merged(spark: SparkSession, path: str, keys: Sequence[str], schema: T.Struc
     over = [e["file"] for e in entries if e["overrides"]]
     if over:
         newest = _newest(_open(spark, path, schema, over), keys)
-        base = base.join(newest.select(*keys), list(keys), "left_anti").select(*base.columns).unionByName(newest)
-    return base.drop(LOAD)
+        base = base.join(newest.select(*keys), list(keys), "left_anti").select(*base.columns).unionByName(newest.filter(f"NOT {GONE}"))
+    return base.drop(LOAD, GONE)
 
 
-def read_ranges(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The table as it stands. The names of its files are collected, nothing else."""
-    entries = file_list(spark, path).select("file", "overrides").collect()
-    return _merged(spark, path, keys, _columns(spark, path), entries)
+def read_ranges(spark: SparkSession, path: str, keys: Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
+    """The table as it stands, or its rows of the ``wanted`` values of the first key: then only files that may hold one are opened.
+    The names of files are collected, nothing else."""
+    entries = file_list(spark, path)
+    if wanted is not None:
+        entries = touched_files(entries, wanted, keys[0])
+    rows = _merged(spark, path, keys, _columns(spark, path), entries.select("file", "overrides").collect())
+    return rows if wanted is None else rows.join(wanted.select(keys[0]).distinct(), keys[0], "left_semi").select(*rows.columns)
 
 
 def touched_files(listed: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
@@ -133,39 +141,89 @@ def upsert_ranges(source: DataFrame, path: str, keys: Sequence[str], compare: Se
     """Merge the source's rows into the table: new keys are added, matched rows take the source's values when a compared
     column differs (null-safely). A second source row for a key fails the load before anything is listed."""
     spark, keys = source.sparkSession, list(keys)
-    staged, seen = fresh_folder(spark, "incoming"), Observation()
-    source.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
-    incoming, read = spark.read.schema(source.schema).parquet(staged), int(seen.get["rows"])
+    incoming, read = _staged(source)
     if not exists(spark, path):
-        # The check rides on the range partitioning and sort of the write.
-        added = _add_files(incoming, path, keys, False, 1, check=True)
-        _publish(spark, path, source.schema, [added])
-        return Upsert(read, _loaded(spark, path, source.schema, keys, 1))
-    schema, listed = _columns(spark, path), file_list(spark, path)
-    if [f.name for f in schema.fields] != source.columns:
-        raise ValueError(f"columns differ from the stored table's: {sorted(set(source.columns) ^ set(schema.names))}")
-    load = listed.agg(F.coalesce(F.max("load"), F.lit(0))).first()[0] + 1
-    files = touched_files(listed, incoming, keys[0]).select("file", "overrides").collect()
-    target = _merged(spark, path, keys, schema, files)
+        return _first_load(incoming, path, keys, read)
+    target = _target(incoming, path, keys)
     joined = unique_source(incoming, keys).alias("s").join(
         target.withColumn("_t", F.lit(1)).alias("t"), [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys], "left")
     action = F.when(F.col("t._t").isNull(), "insert").when(differs_from(compare), "update").otherwise("keep")
-    path_changed = fresh_folder(spark, "changed")
-    tagged = joined.withColumn(ACTION, action).filter(F.col(ACTION) != "keep").select(*[F.col(f"s.{c}").alias(c) for c in source.columns], ACTION)
-    tagged.write.partitionBy(ACTION).parquet(path_changed)
-    changed = spark.read.schema(tagged.schema).parquet(path_changed)
-    kinds = {r[0] for r in changed.select(ACTION).distinct().collect()}
-    added = [
-        _add_files(changed.filter(F.col(ACTION) == kind).drop(ACTION), path, keys, overrides, load)
-        for kind, overrides in (("insert", False), ("update", True)) if kind in kinds]
-    if added:
-        _publish(spark, path, schema, [listed, *added])
-    return Upsert(read, changed.select(*source.columns, ACTION))
+    return _apply(joined, action, incoming, path, keys, read)
 
 
-def _loaded(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], load: int) -> DataFrame:
-    files = [r["file"] for r in file_list(spark, path).filter(F.col("load") == load).select("file").collect()]
-    return _open(spark, path, schema, files).drop(LOAD).withColumn(ACTION, F.lit("insert"))
+def replace_within(source: DataFrame, path: str, keys: Sequence[str], scope: DataFrame) -> Upsert:
+    """The source becomes all there is for the values of the first keys in ``scope`` (columns: some of the first keys);
+    stored rows of the scope that the source lacks are removed. The source's rows must be within the scope."""
+    spark, keys = source.sparkSession, list(keys)
+    incoming, read = _staged(source)
+    if not exists(spark, path):
+        return _first_load(incoming, path, keys, read)
+    scope = scope.distinct()
+    target = _target(scope, path, keys).join(scope, scope.columns, "left_semi").select(*source.columns)
+    joined = unique_source(incoming, keys).withColumn("_s", F.lit(1)).alias("s").join(
+        target.withColumn("_t", F.lit(1)).alias("t"), [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys], "full")
+    compare = [c for c in source.columns if c not in keys]
+    action = F.when(F.col("t._t").isNull(), "insert").when(F.col("s._s").isNull(), "remove").when(differs_from(compare), "update").otherwise("keep")
+    return _apply(joined, action, incoming, path, keys, read)
+
+
+def _staged(source: DataFrame) -> tuple[DataFrame, int]:
+    folder, seen = fresh_folder(source.sparkSession, "incoming"), Observation()
+    source.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    return source.sparkSession.read.schema(source.schema).parquet(folder), int(seen.get["rows"])
+
+
+def _first_load(incoming: DataFrame, path: str, keys: Sequence[str], read: int) -> Upsert:
+    spark, schema = incoming.sparkSession, incoming.schema
+    # The check rides on the range partitioning and sort of the write.
+    _publish(spark, path, schema, [_add_files(incoming, path, keys, False, 1, check=True)])
+    rows = _open(spark, path, schema, [r["file"] for r in file_list(spark, path).select("file").collect()]).drop(LOAD, GONE)
+    return Upsert(read, rows.withColumn(ACTION, F.lit("insert")), rows.limit(0))
+
+
+def _target(wanted: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """Rows of all files that may hold a wanted first key."""
+    spark = wanted.sparkSession
+    schema = _columns(spark, path)
+    if not set(wanted.columns) <= set(schema.names) or keys[0] not in wanted.columns:
+        raise ValueError(f"columns differ from the stored table's: {sorted(set(wanted.columns) ^ set(schema.names))}")
+    files = touched_files(file_list(spark, path), wanted, keys[0]).select("file", "overrides").collect()
+    return _merged(spark, path, keys, schema, files)
+
+
+def _apply(joined: DataFrame, action: Column, incoming: DataFrame, path: str, keys: Sequence[str], read: int) -> Upsert:
+    """Store what changes (s: new rows, t: stored ones), add its files and list them."""
+    spark, columns = incoming.sparkSession, incoming.columns
+    schema, folder = _columns(spark, path), fresh_folder(spark, "changed")
+    if set(schema.names) != set(columns):
+        raise ValueError(f"columns differ from the stored table's: {sorted(set(columns) ^ set(schema.names))}")
+    tagged = joined.withColumn(ACTION, action).filter(F.col(ACTION) != "keep").select(
+        *[F.coalesce(f"s.{c}", f"t.{c}").alias(c) if c in keys else F.col(f"s.{c}").alias(c) for c in columns],
+        F.when(F.col("t._t").isNotNull(), F.struct(*[F.col(f"t.{c}").alias(c) for c in columns])).alias("_before"), ACTION)
+    tagged.write.partitionBy(ACTION).parquet(folder)
+    done = spark.read.schema(tagged.schema).parquet(folder)
+    kinds, listed = {r[0] for r in done.select(ACTION).distinct().collect()}, file_list(spark, path)
+    load = listed.agg(F.coalesce(F.max("load"), F.lit(0))).first()[0] + 1
+    added = []
+    if "insert" in kinds:
+        # A key that was removed before has an override that must be overridden, not a new base row.
+        new = done.filter(F.col(ACTION) == "insert").select(*columns)
+        near = touched_files(listed.filter("overrides"), new, keys[0]).select("file").collect()
+        again = _open(spark, path, schema, [r["file"] for r in near]).filter(GONE).select(*keys)
+        added.append(_add_files(new.join(again, list(keys), "left_anti").select(*columns), path, keys, False, load))
+        back = new.join(again, list(keys), "left_semi").select(*columns).withColumn(GONE, F.lit(False))
+    else:
+        back = None
+    over = done.filter(F.col(ACTION) != "insert").select(*columns, (F.col(ACTION) == "remove").alias(GONE))
+    if back is not None and not back.isEmpty():
+        over = over.unionByName(back)
+    elif kinds <= {"insert"}:
+        over = None
+    if over is not None:
+        added.append(_add_files(over, path, keys, True, load))
+    if added:
+        _publish(spark, path, schema, [listed, *added])
+    return Upsert(read, done.filter(F.col(ACTION) != "remove").select(*columns, ACTION), done.filter("_before IS NOT NULL").select("_before.*"))
 
 
 def compact_ranges(spark: SparkSession, path: str, keys: Sequence[str], small_rows: int = 100_000) -> int:

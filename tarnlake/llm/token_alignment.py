@@ -32,7 +32,9 @@ from tarnlake.llm.token_counts import byte_letters
 BROADCAST_PAIRS = 3_000_000
 # Pairs a task holds before it hands its partial counts on.
 HELD_PAIRS = 500_000
-ALIGNED = "key long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a array<int>, b array<int>"
+ALIGNED = "key long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a binary, b binary"
+# Link ids are held as bytes, so that nothing handles them one by one between tasks.
+IDS = np.dtype("<u4")
 PAIR = pa.schema([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
 
 
@@ -62,6 +64,20 @@ class Side:
         raise NotImplementedError
 
 
+def packed(ids: pa.Array, cuts: np.ndarray) -> pa.BinaryArray:
+    """The ids of each row as bytes."""
+    data = pa.py_buffer(ids.to_numpy().astype(IDS).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * IDS.itemsize).astype(np.int32).tobytes()), data])
+
+
+def unpacked(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column end to end, and where each row's begin and end."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    ids = np.frombuffer(data, IDS, (at[-1] - at[0]) // IDS.itemsize, at[0]) if len(column) and at[-1] > at[0] else np.zeros(0, IDS)
+    return ids.astype(np.int32), (at - at[0]) // IDS.itemsize
+
+
 def byte_ranks(file: bytes) -> dict[bytes, int]:
     """Bytes and id of every entry of a byte-level file but added ones, if ids are ranks too.
 
@@ -145,7 +161,7 @@ def digest(numbers: pa.Array, cuts: np.ndarray) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pc.cast(numbers, pa.large_string())), pa.scalar(",", pa.large_string()))
 
 
-def align(a: pa.LargeListArray, b: pa.LargeListArray, first: Side, second: Side) -> tuple[np.ndarray, np.ndarray, list[str], pa.Array, pa.Array, np.ndarray]:
+def align(a: pa.LargeListArray, b: pa.LargeListArray, first: Side, second: Side) -> tuple[np.ndarray, np.ndarray, list[str], pa.Array, pa.Array]:
     """Groups, links, digest and link ids of documents whose tokens spell the same bytes on both sides."""
     n, flat_a, flat_b = len(a), a.flatten(), b.flatten()
     met = placed(a, first, "ia").join(placed(b, second, "ib"), keys=["doc", "end"], join_type="full outer", use_threads=False)
@@ -160,7 +176,7 @@ def align(a: pa.LargeListArray, b: pa.LargeListArray, first: Side, second: Side)
     text = pc.binary_join_element_wise(
         digest(flat_a, np.append(0, ends_a)), digest(flat_b, np.append(0, ends_b)), pa.scalar("|", pa.large_string()))
     whole = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(groups)), pa.int32()), text), pa.scalar(";", pa.large_string()))
-    return groups, links, [hashlib.sha256(x.as_buffer()).hexdigest() for x in whole], link_a, link_b, np.append(0, np.cumsum(links))
+    return groups, links, [hashlib.sha256(x.as_buffer()).hexdigest() for x in whole], link_a, link_b
 
 
 def aligned(docs: DataFrame, first: bytes, pattern: str, second: bytes, text: str = "text") -> DataFrame:
@@ -178,7 +194,7 @@ def aligned(docs: DataFrame, first: bytes, pattern: str, second: bytes, text: st
                 wanted = [b" " + t.encode() for t in some]
                 good = faithful(a, one, wanted) & faithful(b, two, wanted)
                 a, b, at = a.filter(pa.array(good)), b.filter(pa.array(good)), np.array(filled, np.int64)[good]
-                groups, links, marks, link_a, link_b, cuts = align(a, b, one, two)
+                groups, links, marks, link_a, link_b = align(a, b, one, two)
 
                 def spread(values: np.ndarray) -> np.ndarray:
                     out = np.zeros(n, np.int64)
@@ -188,11 +204,11 @@ def aligned(docs: DataFrame, first: bytes, pattern: str, second: bytes, text: st
                 names = [""] * n
                 for k, mark in zip(at, marks):
                     names[k] = mark
-                offsets = pa.array(np.append(0, np.cumsum(spread(links))), pa.int32())
+                cuts = np.append(0, np.cumsum(spread(links)))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0)[span], batch.column(1)[span], pa.array(spread(pc.list_value_length(a).to_numpy(zero_copy_only=False))),
                     pa.array(spread(pc.list_value_length(b).to_numpy(zero_copy_only=False))), pa.array(spread(groups)), pa.array(spread(links)),
-                    pa.array(names, pa.string()), pa.ListArray.from_arrays(offsets, link_a), pa.ListArray.from_arrays(offsets, link_b)],
+                    pa.array(names, pa.string()), packed(link_a, cuts), packed(link_b, cuts)],
                     names=["key", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b"])
 
     return docs.select(
@@ -209,7 +225,7 @@ def pair_counts(rows: DataFrame) -> DataFrame:
 
         held: list[pa.Table] = []
         for batch in batches:
-            pairs = pa.table({"a": pc.list_flatten(batch.column(0)), "b": pc.list_flatten(batch.column(1))})
+            pairs = pa.table({"a": unpacked(batch.column(0))[0], "b": unpacked(batch.column(1))[0]})
             counted = pairs.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")])
             held.append(counted.rename_columns({"count_all": "n"}).select(["a", "b", "n"]).cast(PAIR))
             if sum(t.num_rows for t in held) > 2 * HELD_PAIRS:
@@ -236,10 +252,9 @@ def with_sums_by_lookup(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts = shared.value
         for batch in batches:
-            a, b = batch.column("a"), batch.column("b")
-            wanted = (a.flatten().to_numpy().astype(np.int64) << 32) + b.flatten().to_numpy()
+            (a, cuts), (b, _) = unpacked(batch.column("a")), unpacked(batch.column("b"))
+            wanted = (a.astype(np.int64) << 32) + b
             found = counts[np.searchsorted(codes, wanted)] if len(codes) else wanted
-            cuts = a.offsets.to_numpy() - a.offsets[0].as_py()
             best, total = (np.append(0, np.cumsum(x)) for x in (found & 1, found >> 1))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in OWN), pa.array(best[cuts[1:]] - best[cuts[:-1]]), pa.array(total[cuts[1:]] - total[cuts[:-1]])],
@@ -251,8 +266,16 @@ def with_sums_by_lookup(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def with_sums_by_join(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The same by a shuffle join, whatever the number of pairs."""
-    links = rows.select("key", F.explode(F.arrays_zip("a", "b")).alias("x")).groupBy("key", "x").agg(F.count("*").alias("k"))
-    sums = links.select("key", "k", "x.a", "x.b").join(pairs, ["a", "b"]).groupBy("key").agg(
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (a, cuts), (b, _) = unpacked(batch.column("a")), unpacked(batch.column("b"))
+            links = pa.table({"key": np.repeat(batch.column("key").to_numpy(), np.diff(cuts)), "a": a, "b": b})
+            counted = links.group_by(["key", "a", "b"], use_threads=False).aggregate([([], "count_all")])
+            yield from counted.rename_columns({"count_all": "k"}).select(["key", "a", "b", "k"]).to_batches(65536)
+
+    links = rows.select("key", "a", "b").mapInArrow(opened, "key long, a int, b int, k long")
+    sums = links.join(pairs, ["a", "b"]).groupBy("key").agg(
         F.sum(F.when(F.col("best"), F.col("k")).otherwise(0)).alias("n_best"), F.sum(F.col("k") * F.col("n")).alias("count_sum"))
     zero = F.lit(0).cast("long")
     return rows.select("key", *OWN).join(sums, "key", "left").select(

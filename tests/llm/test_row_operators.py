@@ -113,6 +113,26 @@ def test_attributes_do_not_hide_an_article(page):
     assert page_text.main_text(page.format(said), page_text.trained()) == said
 
 
+LONG = "They went on for many hours until the road came to an end and nobody could say where it had been going. " * 2
+
+
+@pytest.mark.parametrize("page,kept", [
+    ("<article><p>{}</p><p>Yes, he did.</p></article><nav><a>Home</a></nav>", [LONG, "Yes, he did."]),
+    ("<article><p>{}</p><p>Yes, he did.</p></article><footer><a>Home</a></footer>", [LONG, "Yes, he did."]),
+    # The tree overrules a doubtful name, and lists that nothing names.
+    ("<article><h1>A</h1><div class='legal-analysis'><p>{}</p><p>So it was.</p></div></article>", ["A", LONG, "So it was."]),
+    ("<article><div class='post social-history'><p>{}</p></div></article>", [LONG]),
+    ("<article><p>{}</p><ul><li><a>Read this next</a></li><li><a>And that after it</a></li><li><a>And more</a></li></ul></article>", [LONG]),
+    ("<article><p>{0}</p><section class='user-feedback'><p>{0}</p><p>nice</p></section></article>", [LONG]),
+    ("<article><p>{0}</p><div class=comment-list><p>{0}</p></div></article>", [LONG]),
+    # Pages without an article element.
+    ("<div class=nav><a>Home</a><a>More</a></div><div class=content><h1>T</h1><p>{}</p><p>The end.</p></div><div class=footer>us</div>", ["T", LONG, "The end."]),
+    ("<div><a>Home</a></div><div><h1>Title here</h1><p>{0}</p><p>{0}</p></div><div><a>About us</a></div>", ["Title here", LONG, LONG]),
+    ("<div class='alert-mechanisms'><p>{}</p></div><div class=sidebar><p>{}</p></div>".replace("{}", "{0}"), [LONG])])
+def test_words_and_links_weigh_more_than_names(page, kept):
+    assert page_text.main_text(page.format(LONG), page_text.trained()).split("\n") == [k.strip() for k in kept]
+
+
 def test_site_parts_stay_out():
     page = ("<div class='sidebar'><p>Side words here</div><article><p>One two three<section id=comments><article><p>I like it</article></section>"
             "<p hidden>No</p><p class=x hidden=''>No</p></article><nav><article>Teaser</article></nav>")
@@ -123,8 +143,8 @@ def test_the_tree_tells_the_labelled_blocks_apart():
     tree = page_text.trained()
     right = total = 0
     for page in page_text.LABELLED:
-        rows = page_text.features([page_text.Block("", w, k, p, h) for p, h, w, k, _ in page])
-        right += sum(page_text.belongs(tree, row) == bool(b[4]) for row, b in zip(rows, page))
+        rows = page_text.features([page_text.Block("", w, k, p, h, n) for p, n, h, w, k, _ in page])
+        right += sum(page_text.belongs(tree, row) == bool(b[5]) for row, b in zip(rows, page))
         total += len(page)
     assert right >= 0.97 * total
 

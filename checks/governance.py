@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 from datetime import datetime
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from checks.clean import SQL as CLEAN_SQL
 from checks.clean import cleaned, rows
 from checks.common import Registry, q, tidy
+from checks.mapping import RAW as MAPPED_RAW
 from checks.mapping import Tables, with_tables
 from tarnlake.operators import audit, quality, rules
 from tarnlake.plans import governance, rulebooks
@@ -23,6 +25,8 @@ NULL_COLUMNS = ("AddressID", "AddressLine2", "City", "PostalCode", "StateProvinc
 KEYS = (("l_orderkey",), ("l_partkey",), ("l_orderkey", "l_linenumber"), ("l_partkey", "l_suppkey", "l_shipdate"))
 # Every cleaned table; employees are read through an alias, so they are left to the job queries.
 SILVER = tuple(n for n in CLEAN_SQL if n != "clean_hr_employee")
+# Every raw table that is mapped and has a rule.
+RAW_ALL = tuple(n for n in MAPPED_RAW if n in rulebooks.bronze_rules())
 RAW = ("production_productinventory", "person_stateprovince", "csv_salesorderheader")
 
 
@@ -91,6 +95,28 @@ def derived_raw_rules(spark, sf_dir: str):
     return parts[0].union(parts[1]).union(parts[2])
 
 
+def all_raw_rules(spark, sf_dir: str):
+    """Every mapped raw table under its rule."""
+    t, book = Tables(spark, sf_dir), rulebooks.bronze_rules()
+    parts = [rules.apply_rules(t[n], book, n, layer="BRONZE", run_id="r1", process="ingest").drop("CheckDate") for n in RAW_ALL]
+    return reduce(DataFrame.union, parts)
+
+
+def _all_raw_sql() -> str:
+    """The same rules, of those columns that a mapped table has."""
+    parts, book = [], rulebooks.bronze_rules()
+    for n in RAW_ALL:
+        def there(columns, text=MAPPED_RAW[n]):
+            return all(re.search(rf"\b{c}\b", text, re.IGNORECASE) for c in columns)
+
+        keys = [(k,) if isinstance(k, str) else tuple(k) for k in book[n].check_dup]
+        nulls = [_nulls(c, n) for c in book[n].check_null if there([c])]
+        checks = nulls + [_dups(k, n) for k in keys if there(k)]
+        if nulls:
+            parts.append(_records("ingest", "BRONZE", n, checks))
+    return " UNION ALL ".join(parts)
+
+
 def silver_rules(spark, sf_dir: str):
     """Rules derived from the declarations of the cleaned tables."""
     book = rulebooks.silver_rules()
@@ -177,6 +203,7 @@ def register(reg: Registry) -> None:
             (RAW[0], ("productid", "locationid"), [("productid", "locationid")]),
             (RAW[1], ("stateprovinceid",), [("stateprovinceid",)]),
             (RAW[2], ("_c0",), [])))))
+    reg.add("h04_all_raw_rules", all_raw_rules, with_tables(_all_raw_sql()))
     reg.add("h05_silver_rules", silver_rules, with_tables(_silver_sql(), CLEAN))
     reg.add("h06_lineage_rows", lineage_of_writes, """
         SELECT 'r1' AS RunID, 'load' AS ProcessName, 'SILVER' AS Layer, 'orders' AS TableSaved, count(*) AS QtyRead,

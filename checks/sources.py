@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from checks.clean import shaped
 from checks.common import Registry, q, tidy
 from checks.mapping import Tables, with_tables
 from tarnlake.operators.cleaning import clean
+from tarnlake.plans import raw
 from tarnlake.plans.clean_tables import ORDER_DETAIL, ORDER_HEADER, SPECS
 from tarnlake.session import fresh_folder
 from tarnlake.sources import snapshots, wanted
@@ -15,6 +18,7 @@ from tarnlake.sources.documents import api_currency, api_weather
 from tarnlake.streaming import ingest as st
 
 SPLIT_DAY = "2024-01-16"
+SPLIT = re.compile(r",\s*(?=CAST|c_)")
 
 
 def table(spark, sf_dir: str, name: str):
@@ -267,6 +271,17 @@ def register(reg: Registry) -> None:
         SELECT CAST(ts AS DATE) AS CurrencyDate, code AS CurrencyCode,
           CAST(json_extract(props, '$."' || code || '"') AS DOUBLE) AS Rate
         FROM (SELECT ts, props, unnest(json_keys(props)) AS code FROM events) AS e""")
+    reg.add("a05_raw_tables_by_run", raw_tables, """
+        SELECT 'sales_customer' AS table_name, 'run' || (c_custkey % 3) AS IngestRunID, count(*) AS "rows", sum(c_custkey)::BIGINT AS keys
+        FROM customer GROUP BY ALL
+        UNION ALL SELECT 'sales_supplier', 'run0', count(*), sum(s_suppkey)::BIGINT FROM supplier""")
+    reg.add("a07_widened_raw_table", widened, """
+        SELECT c_custkey, c_name, CAST(c_acctbal AS DOUBLE) AS c_acctbal, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS c_mktsegment,
+          'run' || (c_custkey % 3) AS IngestRunID FROM customer""")
+    reg.add("a12_extracted_rows", newest_rows, """
+        SELECT 'sales_customer' AS table_name, c_custkey AS "key", c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal,
+          c_mktsegment AS mktsegment FROM customer
+        UNION ALL SELECT 'sales_supplier', s_suppkey, s_name, NULL, s_acctbal, NULL FROM supplier""")
     reg.add("a12_extract_tables", newest_all, """
         SELECT 'sales_customer' AS table_name, count(*) AS "rows" FROM customer
         UNION ALL SELECT 'sales_supplier', count(*) FROM supplier""")
@@ -295,6 +310,55 @@ def mode(spark, sf_dir: str, name: str):
     return wanted.by_mode(orders, "d", name)
 
 
+# Three snapshots of a raw table: without a column, with narrower types, and as it is now.
+SNAPSHOTS = (
+    "CAST(c_custkey AS INT) AS c_custkey, c_name, CAST(c_acctbal AS DECIMAL(10,2)) AS c_acctbal",
+    "CAST(c_custkey AS INT) AS c_custkey, c_name, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment",
+    "CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_acctbal AS DECIMAL(12,3)) AS c_acctbal, c_mktsegment",
+)
+
+
+def raw_layer(spark, sf_dir: str):
+    """A landed table drained after each of its snapshots, with another one that has a single snapshot."""
+    land, root = fresh_folder(spark, "land"), fresh_folder(spark, "lake")
+    table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").write.parquet(f"{land}/sales/supplier/supplier_1.parquet")
+    for k, columns in enumerate(SNAPSHOTS):
+        customers = table(spark, sf_dir, "customer").selectExpr("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+        part = customers.filter(F.col("c_custkey") % 3 == k).selectExpr(*[c.strip() for c in SPLIT.split(columns)])
+        part.write.parquet(f"{land}/sales/customer/customer_{k}.parquet")
+        if raw.raw_job(spark, land, root, f"run{k}"):
+            raise RuntimeError("a table failed")
+    return root
+
+
+def widened(spark, sf_dir: str):
+    """All rows of the raw table, read with the columns and types that its log of columns has grown to."""
+    rows = raw.read_raw(spark, raw_layer(spark, sf_dir), "sales_customer")
+    return rows.select("c_custkey", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_mktsegment", "IngestRunID")
+
+
+def raw_tables(spark, sf_dir: str):
+    """Every raw table that was discovered, with its rows of each run."""
+    root = raw_layer(spark, sf_dir)
+    parts = [
+        raw.read_raw(spark, root, n).groupBy("IngestRunID").agg(F.count("*").alias("rows"), F.sum(key).alias("keys")).select(
+            F.lit(n).alias("table_name"), "IngestRunID", "rows", "keys")
+        for n, key in (("sales_customer", "c_custkey"), ("sales_supplier", "s_suppkey"))]
+    return parts[0].union(parts[1])
+
+
+def newest_rows(spark, sf_dir: str):
+    """Whole rows of every extracted table."""
+    tables = snapshots.read_latest(spark, extracted(spark, sf_dir))
+    columns = ("key", "name", "nationkey", "acctbal", "mktsegment")
+    parts = []
+    for n in sorted(tables):
+        own = {c.split("_", 1)[1].replace("custkey", "key").replace("suppkey", "key"): c for c in tables[n].columns}
+        parts.append(tables[n].select(
+            F.lit(n).alias("table_name"), *[(F.col(own[c]).cast("double") if c == "acctbal" else F.col(own[c])).alias(c) for c in columns if c in own]))
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
 def newest_all(spark, sf_dir: str):
     tables = snapshots.read_latest(spark, extracted(spark, sf_dir))
     counted = [

@@ -41,7 +41,8 @@ UNREAD = {
     "sales_countryregioncurrency": Rule(("CountryRegionCode", "CurrencyCode"), ("CountryRegionCode",)),
     "sales_creditcard": Rule(("CreditCardID", "CardType", "CardNumber"), ("CreditCardID",)),
     "sales_personcreditcard": Rule(("BusinessEntityID", "CreditCardID"), ("CreditCardID",)),
-    "sales_salesorderheadersalesreason": Rule(("UnitMeasureCode", "SalesReasonID")),
+    "sales_salesorderheadersalesreason": Rule(
+        ("SalesOrderID", "SalesReasonID"), (("SalesOrderID", "SalesReasonID"),)),
     "sales_salesperson": Rule(
         ("BusinessEntityID", "Bonus", "CommissionPct", "SalesYTD", "SalesLastYear"), ("BusinessEntityID",)),
     "sales_salesreason": Rule(("SalesReasonID", "Name", "ReasonType"), ("SalesReasonID",)),

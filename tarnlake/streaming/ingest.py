@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 
 RUN = "IngestRunID"  # raw tables are partitioned by it
+REPORTS, KEPT = "spark.sql.streaming.numRecentProgressUpdates", 10_000
 POLL = 0.2  # seconds between two looks at a stream's progress
 
 
@@ -23,6 +24,8 @@ class IngestStats:
     written: int
     batches: int
     run_id: str
+    # Whether every batch was reported; if not, written is counted and read is a lower bound.
+    reported: bool = True
 
 
 def file_date(pattern: str, fmt: str) -> Column:
@@ -43,6 +46,11 @@ def with_ingestion(df: DataFrame, run_id: str, extra: Mapping[str, Column] | Non
 
 
 def _drain(stream: DataFrame, checkpoint: str, out: str, run_id: str) -> IngestStats:
+    spark = stream.sparkSession
+    before = _committed(spark, checkpoint)
+    held = spark.conf.get(REPORTS)
+    # A query keeps its newest reports only: enough of them, and they are added up while it runs.
+    spark.conf.set(REPORTS, str(max(int(held), KEPT)))
     query = (
         stream.observe("ingest", F.count(F.lit(1)).alias("rows"))
         .writeStream.format("parquet")
@@ -53,23 +61,32 @@ def _drain(stream: DataFrame, checkpoint: str, out: str, run_id: str) -> IngestS
         .trigger(availableNow=True)
         .start()
     )
-    # Spark keeps the newest progress reports only, so they are added up while the query runs.
+    spark.conf.set(REPORTS, held)
     seen: dict[int, tuple[int, int]] = {}
-    last = -1
     done = False
     while not done:
         done = query.awaitTermination(POLL)
         for p in query.recentProgress:
-            last = max(last, p["batchId"])
-            if p["numInputRows"] > 0:
-                # File sinks report no output rows; the observation counts what went through.
-                seen[p["batchId"]] = (p["numInputRows"], int(p["observedMetrics"]["ingest"]["rows"]))
+            # File sinks report no output rows; the observation counts what went through.
+            seen[p["batchId"]] = (p["numInputRows"], int(p["observedMetrics"]["ingest"]["rows"]) if p["numInputRows"] else 0)
     read, written = (sum(v[k] for v in seen.values()) for k in (0, 1))
-    if seen and len(seen) < last - min(seen) and RUN in stream.columns:
-        # Reports were dropped between two looks: count what this run has stored.
-        written = this_run(stream.sparkSession.read.parquet(out), run_id).count()
+    batches = _committed(spark, checkpoint) - before
+    if not batches <= set(seen):
+        # Which batches ran is known from the checkpoint. A report is missing: count what this run has stored.
+        if RUN not in stream.columns:
+            raise RuntimeError(f"no report of batches {sorted(batches - set(seen))}, and no {RUN} to count their rows by")
+        written = this_run(spark.read.parquet(out), run_id).count()
         read = max(read, written)
-    return IngestStats(read, written, len(seen), run_id)
+    return IngestStats(read, written, sum(1 for v in seen.values() if v[0]), run_id, batches <= set(seen))
+
+
+def _committed(spark: SparkSession, checkpoint: str) -> set[int]:
+    """Batches that a stream has finished, by the names in its checkpoint."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/commits")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return set()
+    return {int(n) for n in (s.getPath().getName() for s in fs.listStatus(folder)) if n.isdigit()}
 
 
 def ingest(

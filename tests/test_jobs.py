@@ -81,3 +81,40 @@ def test_the_raw_job_drains_each_table_once_with_new_columns(spark, rows, tmp_pa
         ("r2", "sales_salesterritory", 1, 1, "SUCCESS"), ("r3", "sales_salesterritory", 0, 0, "SUCCESS")]
     checks = spark.read.parquet(jobs.log_path(root, "data_quality")).filter("CheckType = 'NULL' and ColumnName = 'territoryid'")
     assert rows(checks, "RunID", "FailedRows") == [("r1", 1), ("r2", 0)]
+
+
+def test_columns_come_from_the_log_and_only_new_footers_are_opened(spark, rows, tmp_path, monkeypatch):
+    from tarnlake.plans import raw as raw_layer
+    from tarnlake.sources import registry
+
+    land, root, opened = tmp_path / "land", str(tmp_path / "lake"), []
+    monkeypatch.setattr(registry, "footer", lambda s, path, real=registry.footer: opened.append(path.rsplit("/", 1)[-1]) or real(s, path))
+
+    def land_snapshot(k, schema, *values):
+        spark.createDataFrame(list(values), schema).write.parquet(str(land / "sales" / "thing" / f"thing_{k}.parquet"))
+        return raw_layer.raw_job(spark, str(land), root, f"r{k}")
+
+    assert land_snapshot(1, "id int, v float", (1, 0.5)) == []
+    assert land_snapshot(2, "id int, V float, extra string", (2, 1.5, "x")) == []
+    assert land_snapshot(3, "id bigint, v double", (2**40, 2.5)) == []
+    assert opened == ["thing_1.parquet", "thing_2.parquet", "thing_3.parquet"]
+    table = raw_layer.read_raw(spark, root, "sales_thing")
+    assert dict(table.dtypes)["id"] == "bigint" and dict(table.dtypes)["v"] == "double"
+    assert rows(table, "id", "v", "extra", "IngestRunID") == [(1, 0.5, None, "r1"), (1099511627776, 2.5, None, "r3"), (2, 1.5, "x", "r2")]
+    # A change that would lose values is refused by name; the table stays readable as it was.
+    assert land_snapshot(4, "id string, v double", ("q", 1.0)) == ["sales_thing"]
+    log = spark.read.parquet(jobs.log_path(root, "data_lineage")).filter("RunID = 'r4'").first()
+    assert log["Status"] == "FAIL" and "column id turns from bigint to string" in log["ErrorMsg"]
+    assert rows(raw_layer.read_raw(spark, root, "sales_thing"), "id") == rows(table, "id")
+
+
+def test_types_grow_only_where_values_stay():
+    from pyspark.sql import types as T
+
+    from tarnlake.sources.registry import wider
+
+    i, b, f, d, s = T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType(), T.StringType()
+    assert wider(i, b) == wider(b, i) == b and wider(f, d) == d and wider(s, s) == s
+    assert wider(T.DecimalType(10, 2), T.DecimalType(9, 4)) == T.DecimalType(12, 4)
+    assert wider(T.DecimalType(38, 0), T.DecimalType(10, 2)) is None
+    assert wider(i, d) is None and wider(i, s) is None and wider(T.DateType(), T.TimestampType()) is None

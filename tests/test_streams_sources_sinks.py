@@ -206,3 +206,24 @@ def test_rows_of_a_run_read_only_its_partition(spark, tmp_path):
     picked = st.this_run(spark.read.parquet(out), "run-a")
     plan = picked._jdf.queryExecution().executedPlan().toString()
     assert picked.count() == 4 and "PartitionFilters: [isnotnull(IngestRunID" in plan
+
+
+def test_counts_are_whole_when_a_report_is_lost(spark, tmp_path, monkeypatch):
+    """Whichever report of a run is withheld, the checkpoint tells that a batch is missing."""
+    from pyspark.sql.streaming import StreamingQuery
+
+    from tarnlake.streaming.ingest import ingest
+
+    real = StreamingQuery.recentProgress.fget
+    for lost in (None, 0, 2, 4):
+        folder = tmp_path / f"lost-{lost}"
+        for k in range(5):
+            spark.range(k + 1).coalesce(1).write.mode("append").json(str(folder / "in"))
+        monkeypatch.setattr(StreamingQuery, "recentProgress", property(lambda q, x=lost: [p for p in real(q) if p["batchId"] != x]))
+        stats = ingest(
+            spark, str(folder / "in"), "json", "id long", str(folder / "check"), str(folder / "out"), "r1", options={"maxFilesPerTrigger": 1})
+        assert stats.written == 15 and stats.reported == (lost is None) and stats.read == 15
+        assert stats.batches == 5 - (lost is not None)
+        # A second run has nothing to do, and no report to miss.
+        again = ingest(spark, str(folder / "in"), "json", "id long", str(folder / "check"), str(folder / "out"), "r2")
+        assert (again.read, again.written, again.reported) == (0, 0, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.functions.scalars import blank
@@ -41,18 +41,22 @@ def null_checks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def duplicate_checks(df: DataFrame, key_sets: Sequence[str | Sequence[str]]) -> DataFrame:
     """Rows beyond the first per key; null counts as one value. A key may have several
-    columns. Distinct values are collapsed inside tasks before they are shuffled."""
+    columns. The table is read once; a key travels as two hashes (128 bits), however many columns it has and however
+    wide they are, and equal keys are collapsed inside tasks before they are shuffled."""
     sets = [[k] if isinstance(k, str) else list(k) for k in key_sets]
-    distinct = []
-    for i, cols in enumerate(sets):
-        if len(cols) == 1:
-            n = F.count_distinct(F.col(cols[0])) + F.coalesce(
-                F.max(F.col(cols[0]).isNull().cast("int")), F.lit(0)
-            )
-        else:
-            n = F.count_distinct(F.struct(*cols))
-        distinct.append((F.count(F.lit(1)) - n).alias(f"f{i}"))
-    one = df.agg(F.count(F.lit(1)).alias("total"), *distinct)
+    if not sets:
+        return _as_rows(df.agg(F.count(F.lit(1)).alias("total")), [], "DUPLICATE")
+
+    def key(i: int, cols: list[str]) -> Column:
+        # A hash passes over nulls, so it is told where they are.
+        parts = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
+        return F.struct(F.lit(i).alias("i"), F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *reversed(parts)).alias("b"))
+
+    met = df.select(F.explode(F.array(*[key(i, c) for i, c in enumerate(sets)])).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    found = met.groupBy("k.i").agg(F.sum("n").alias("total"), (F.sum("n") - F.count(F.lit(1))).alias("failed"))
+    one = found.agg(
+        F.coalesce(F.max("total"), F.lit(0)).alias("total"),
+        *[F.coalesce(F.max(F.when(F.col("i") == i, F.col("failed"))), F.lit(0)).alias(f"f{i}") for i in range(len(sets))])
     return _as_rows(one, [", ".join(c) for c in sets], "DUPLICATE")
 
 

@@ -38,3 +38,26 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float])
         here = placed.filter(F.col("_part") == t["_part"]).withColumn("_run", running + before)
         out.append(here.filter(F.col("_run") >= rank).agg(F.min(column)).first()[0])
     return out
+
+
+def exact_cuts(df: DataFrame, columns: Sequence[str], parts: int) -> dict[str, list[float]]:
+    """For every column the distinct values at ranks ceil(j / parts * n), j below ``parts``, in one pass.
+
+    Values are counted and range-partitioned; a partition needs only the totals of those before it. The driver sees fewer
+    than ``parts`` values of each column."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("v")) for k, c in enumerate(columns)])).alias("x")).select("x.*")
+    counts = long.filter("v IS NOT NULL").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    placed = checkpointed(counts.repartitionByRange("k", "v").withColumn("part", F.spark_partition_id()))
+    totals = placed.groupBy("k", "part").agg(F.sum("n").alias("m"))
+    whole = Window.partitionBy("k")
+    offsets = totals.select(
+        "k", "part", F.coalesce(F.sum("m").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
+        F.sum("m").over(whole).alias("all"))
+    after = F.col("offset") + F.sum("n").over(Window.partitionBy("part", "k").orderBy("v"))
+    ranked = placed.join(F.broadcast(offsets), ["k", "part"]).withColumn("after", after)
+    met = ranked.filter(F.expr(f"least((after * {parts}) div all, {parts - 1}) > ((after - n) * {parts}) div all"))
+    out: dict[str, list[float]] = {c: [] for c in columns}
+    for r in met.select("k", "v").orderBy("k", "v").collect():
+        out[columns[r["k"]]].append(r["v"])
+    return out

@@ -133,5 +133,56 @@ def seasonal_forecast(
     return known.select(*entity, "date", F.round(forecast, 2).alias("prediction"))
 
 
+# How fast level, trend and season follow the data; the best is chosen for each series.
+GRID = [(a, b, c) for a in (0.1, 0.3, 0.5) for b in (0.0, 0.1) for c in (0.1, 0.3)]
+
+
+def smoothed_forecast(
+    series: DataFrame, entity: Sequence[str], month: str, value: str, start: str, end: str, season: int = 12, grid: Sequence = GRID,
+) -> DataFrame:
+    """Monthly forecast of many dense series at once, with a level, a trend and a season that are carried along.
+
+    Level and season start from the first season and the trend from the first two; from then on each month moves them by its
+    one-step error. For each series the factors of the least total error are taken (the first in the grid of equal ones). A series of
+    less than two seasons goes on at its mean. A series has a row for each month, so its array is bounded by the calendar."""
+    zeros = F.array_repeat(F.lit(0.0), season)
+    own = series.groupBy(*entity).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct(F.col(month).alias("m"), F.col(value).cast("double").alias("v")))), lambda x: x["v"]).alias("y"),
+        F.max(month).alias("_last"))
+
+    def mean(values: Column, n: Column | int) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.lit(n)
+
+    first, second = mean(F.slice("y", 1, season), season), mean(F.slice("y", season + 1, season), season)
+    long = F.size("y") >= 2 * season
+    begun = own.withColumns({
+        "_n": F.size("y"), "_level": F.when(long, first).otherwise(F.aggregate("y", F.lit(0.0), lambda a, x: a + x) / F.size("y")),
+        "_trend": F.when(long, (second - first) / F.lit(season)).otherwise(F.lit(0.0)),
+        "_seasons": F.when(long, F.transform(F.slice("y", 1, season), lambda x: x - first)).otherwise(zeros)})
+    tried = begun.withColumn("f", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for k, (a, b, c) in enumerate(grid)])))
+
+    def move(state: Column, t: Column) -> Column:
+        place = (t % season).cast("int")
+        was, y = F.get(state["seasons"], place), F.get(F.col("y"), t)
+        told = state["level"] + state["trend"]
+        level = F.col("f.a") * (y - was) + (1 - F.col("f.a")) * told
+        trend = F.col("f.b") * (level - state["level"]) + (1 - F.col("f.b")) * state["trend"]
+        now = F.col("f.c") * (y - level) + (1 - F.col("f.c")) * was
+        return F.struct(
+            level.alias("level"), trend.alias("trend"), F.transform(state["seasons"], lambda x, i: F.when(i == place, now).otherwise(x)).alias("seasons"),
+            (state["error"] + F.abs(y - told - was)).alias("error"))
+
+    state = F.struct(F.col("_level").alias("level"), F.col("_trend").alias("trend"), F.col("_seasons").alias("seasons"), F.lit(0.0).alias("error"))
+    steps = F.when(F.col("_n") >= 2 * season, F.sequence(F.lit(season), F.col("_n") - 1)).otherwise(F.array().cast("array<int>"))
+    ended = tried.withColumn("s", F.aggregate(steps, state, move))
+    best = ended.groupBy(*entity).agg(F.min_by(F.struct("s", "_last", "_n"), F.struct("s.error", "f.k")).alias("b"))
+    wanted = best.select(*entity, "b.*", F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 month"))).alias("date"))
+    ahead = F.months_between("date", "_last").cast("int")
+    place = ((F.col("_n") + ahead - 1) % season).cast("int")
+    return wanted.filter(F.col("date") > F.col("_last")).select(
+        *entity, "date", (F.col("s.level") + ahead * F.col("s.trend") + F.get("s.seasons", place)).alias("prediction"))
+
+
 def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)

@@ -191,3 +191,40 @@ def test_forecast_of_a_growing_season(spark):
     assert got[1, date(2023, 4, 1)] == 33.0 and got[1, date(2024, 3, 1)] == 42.0
     assert got[2, date(2023, 5, 1)] == 7.0
     assert min(d for _, d in got) == date(2023, 1, 1) and len(got) == 30
+
+
+def test_cuts_are_exact_quantiles_of_every_column(spark):
+    import random
+
+    from tarnlake.operators.quantiles import exact_cuts
+
+    r = random.Random(1)
+    values = [(r.randrange(50) * 1.0, r.random(), None if k % 3 else 7.0, 2.0) for k in range(1000)]
+    df = spark.createDataFrame(values, "a double, b double, c double, d double").repartition(7)
+    found = exact_cuts(df, ["a", "b", "c", "d"], 8)
+    for i, name in enumerate("abcd"):
+        known = sorted(v[i] for v in values if v[i] is not None)
+        assert found[name] == sorted({known[-(-j * len(known) // 8) - 1] for j in range(1, 8)}), name
+    assert exact_cuts(df.limit(0), ["a"], 4) == {"a": []}
+
+
+def test_trees_learn_a_plain_rule_and_do_not_depend_on_partitions(spark, rows):
+    from tarnlake.operators import trees
+
+    df = spark.range(900).selectExpr(
+        "id AS k", "CAST(id % 97 AS DOUBLE) AS x", "CAST(id % 13 AS DOUBLE) AS noise", "IF(id % 5 = 0, NULL, CAST(id % 7 AS DOUBLE)) AS gaps",
+        "CASE WHEN id % 97 > 60 THEN 2 WHEN id % 97 > 30 THEN 1 ELSE 0 END AS label")
+    train, test = trees.split_by_key(df, "k")
+    assert abs(train.count() / 900 - 0.8) < 0.06 and train.join(test, "k").isEmpty()
+    s = trees.Settings(trees=6, depth=3, columns=2)
+    one = trees.fit(train, "k", "label", ["x", "noise", "gaps"], 3, s)
+    two = trees.fit(train.repartition(9), "k", "label", ["x", "noise", "gaps"], 3, s)
+    assert rows(one.splits) == rows(two.splits) and rows(one.leaves) == rows(two.leaves)
+    told = trees.predict(test, one)
+    assert told.filter("label = prediction").count() > 0.9 * test.count() and told.columns == [*test.columns, "prediction", "confidence"]
+    assert told.filter("confidence > 1 OR confidence < 1 / 3.0").isEmpty()
+    shares = {r.feature: r.importance for r in trees.importances(one).collect()}
+    assert abs(sum(shares.values()) - 1) < 1e-9 and max(shares, key=shares.get) == "x"
+    # One class only: no split, and every row is told that class.
+    flat = trees.fit(train.withColumn("label", F.lit(1)), "k", "label", ["x"], 3, s)
+    assert flat.splits.isEmpty() and trees.predict(test, flat).filter("prediction <> 1 OR confidence <> 1").isEmpty()

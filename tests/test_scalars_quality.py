@@ -148,3 +148,16 @@ def test_derived_rule_books():
     assert silver["dim_customer"].check_dup == ("Customer_SK", "CustomerID")
     assert silver["fact_purchases"] == rules.Rule(("PurchaseID",), ("PurchaseID",))
     assert len(silver) == 29 + 6 + 1 + 3
+
+
+def test_duplicates_of_many_columns_in_one_pass(spark, rows):
+    from tarnlake.operators.quality import duplicate_checks
+
+    df = spark.createDataFrame(
+        [(1, None, "a", 0.0), (2, "a", None, -0.0), (3, None, "a", float("nan")), (4, None, None, float("nan")), (4, None, None, None)],
+        "k int, x string, y string, d double")
+    out = duplicate_checks(df, ["k", "x", ("x", "y"), ("y", "x"), "d"])
+    assert rows(out, "ColumnName", "TotalRows", "FailedRows") == [("d", 5, 2), ("k", 5, 1), ("x", 5, 3), ("x, y", 5, 2), ("y, x", 5, 2)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Scan") <= 1 + plan.count("ReusedExchange")
+    assert duplicate_checks(df.limit(0), ["k", "x"]).isEmpty() and duplicate_checks(df, []).isEmpty()

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from tarnlake.llm import textvec
-from tarnlake.llm.common import need, small, stored
+from tarnlake.llm.common import freed, need, small, stored
 from tarnlake.llm.linking import differ, link_by_matrix, shared_postings
 
 WIDTH = 1.5
@@ -41,7 +41,9 @@ def block_numbers(percent: int, classes: int, start: int) -> tuple[tuple[int, in
     end = start
     for _ in range(classes):
         most = 2 * end * (100 - percent) // (100 + percent)
-        out.append((end, max(most + max(2, most // 2), out[-1][1] + 1 if out else 0)))
+        # The further apart similar sets may be, the more blocks there are anyway: fewer to spare then.
+        spare = most // 2 if percent >= 90 else most // 8
+        out.append((end, max(most + max(2, spare), out[-1][1] + 1 if out else 0)))
         end = max(end + 1, int(end * WIDTH))
     return tuple(out)
 
@@ -69,7 +71,9 @@ def blocks_of(hashes: np.ndarray, percent: int) -> list[tuple[int, int, list[int
             marks = textvec.mix(total + textvec.mix(np.arange(m, dtype=np.uint64) * np.uint64(1 << 20) + salt))
             tokens = marks[full].view(np.int64).tolist()
             empty = np.flatnonzero(~full)
-            if len(empty) > 1:
+            # Blocks that are equal whatever the partner; where they outnumber the empty ones, one of them is filled.
+            equal = m - (size + size * 100 // percent) * (100 - percent) // (100 + percent)
+            if len(empty) > 1 and equal <= len(empty):
                 # Blocks empty in both are equal too. If all that two sets share is empty, they share two such: name the pairs.
                 i, j = np.triu_indices(len(empty), 1)
                 names = (empty[i].astype(np.uint64) << np.uint64(32)) + empty[j].astype(np.uint64)
@@ -128,22 +132,27 @@ def token_sets(docs: DataFrame, size: int, text: str) -> DataFrame:
 def rooted(docs: DataFrame, percent: int, size: int, text: str) -> DataFrame:
     """doc_id, th, n, f1 and root (id and hash of the set of a group's first node) of every row."""
     need(docs, "doc_id", text)
-    signed = stored(signatures(docs, percent, size, text), "signatures")
+    found = stored(signatures(docs, percent, size, text), "signatures")
     # Equal sets meet here once per task, however many copies there are.
-    nodes = stored(signed.filter("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(
+    nodes = stored(found.filter("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(
         F.min(F.struct("doc_id", "f1")).alias("node"), F.first("blocks").alias("blocks")), "nodes")
+    signed = stored(found.drop("blocks"), "signed")
+    freed(found)
     rows = nodes.select("node", F.col("n").alias("size"), F.posexplode("blocks").alias("k", "b")).select(
         "node", "size", (F.col("k") > 0).alias("guest"), "b.m", "b.free", F.size("b.tokens").alias("all"), F.explode("b.tokens").alias("token"))
-    postings = stored(shared_postings(rows), "postings")
+    shared = stored(shared_postings(rows), "postings")
+    names = stored(nodes.select("n", "f1", "f2", "node"), "names")
+    freed(nodes)
     # A document that shares too little even with the largest set it could be similar to is out.
     enough = F.col("c") + F.col("free") >= F.col("m") - differ(F.col("size"), F.floor(F.col("size") * 100 / percent), percent)
-    wanted = stored(postings.groupBy("node", "m", "free", "size").agg(F.count("*").alias("c")).filter(enough).select("node").distinct(), "candidates")
-    postings = stored(postings.join(wanted, "node", "left_semi"), "postings")
+    wanted = stored(shared.groupBy("node", "m", "free", "size").agg(F.count("*").alias("c")).filter(enough).select("node").distinct(), "candidates")
+    postings = stored(shared.join(wanted, "node", "left_semi"), "postings")
+    freed(shared)
     chosen = docs.join(small(stored(wanted.select("node.doc_id").distinct(), "candidate-ids"), BROADCAST_ROWS), "doc_id", "left_semi")
     sets = token_sets(chosen, size, text).join(wanted, "node", "left_semi")
     sets = stored(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
     groups = link_by_matrix(postings, sets, percent)
-    roots = nodes.select("n", "f1", "f2", "node").join(groups, "node", "left").select(
+    roots = names.join(groups, "node", "left").select(
         "n", "f1", "f2", F.coalesce("root", "node").alias("root"))
     return signed.select("doc_id", "th", "n", "f1", "f2").join(roots, ["n", "f1", "f2"], "left").select("doc_id", "th", "n", "f1", "root")
 

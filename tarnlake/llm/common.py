@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +28,27 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
-    """Write once to the shared folder and read back: short lineage that survives lost executors."""
+_scopes: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Steps stored inside are deleted at the end: what was made from them must be written or consumed by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        freed(*_scopes.pop())
+
+
+def stored(df: DataFrame, label: str, compression: str = "snappy", keep: bool = False) -> DataFrame:
+    """Write once to the shared folder and read back: short lineage that survives lost executors. ``keep``: beyond the end of a ``scratch`` too."""
     path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
+    if _scopes and not keep:
+        _scopes[-1].append(out)
     return out
 
 

@@ -71,6 +71,17 @@ def test_pipeline_stages(spark):
     assert entry_points.queries()["pipeline"](spark, folder).count() == kept[5].count()
 
 
+def test_the_pipeline_leaves_its_result_only(spark):
+    """Of all steps only the shards, their rows and their list are there after a run."""
+    from tarnlake.session import shared_folder
+
+    root = Path(shared_folder(spark).removeprefix("file:"))
+    before = {p.name for p in root.iterdir()}
+    left = corpus_pipeline.run(spark, "/root/testdata/sf0.01")
+    kinds = {p.name.rsplit("-", 1)[0] for p in root.iterdir() if p.name not in before and not p.name.startswith(".") and "-" in p.name}
+    assert kinds == {"sequences", "manifest", "shards"} and left.count() > 0
+
+
 @pytest.mark.parametrize("toxic", [3, 100])
 def test_the_mixture_loses_no_clean_document(spark, docs, prose, tmp_path, toxic):
     import collections

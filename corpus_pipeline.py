@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm import decontaminate, domain_mix, quality_rules, shingle_join, token_shards
-from tarnlake.llm.common import bounded_batches, small, stored, table
+from tarnlake.llm.common import bounded_batches, freed, scratch, small, stored, table
 
 #: Shares of tokens that the training text should have: clean, toxic.
 TARGETS = (0.97, 0.03)
@@ -64,8 +64,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        docs = stored(out, f"pipeline-{name}") if k < len(STAGES) - 1 else out
-    return docs
+    """The last stage's rows. What the others stored on their way is deleted as soon as the next one has its input."""
+    docs, given = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        with scratch():
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
+        freed(*given or ())
+        given = [docs]
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    # Its shards and rows are written by now.
+    freed(*given or ())
+    return out

@@ -8,6 +8,7 @@ from checks.clean import cleaned, rows
 from checks.common import Registry, m, q, tidy
 from checks.mapping import CALENDAR, Tables, with_tables
 from tarnlake.operators.keys import key_report, number_rows, with_unknown
+from tarnlake.operators.ledger import assign_from_ledger
 from tarnlake.operators.merge import ACTION, duplicate_keys, merge_counts, scd1_merge
 from tarnlake.plans import dims, facts
 from tarnlake.session import checkpointed, fresh_folder
@@ -300,6 +301,18 @@ def stored_pairs(spark, sf_dir: str):
     return with_actions(read_ranges(spark, path, keys), done, keys)
 
 
+def ledger_keys(spark, sf_dir: str):
+    """Two loads side by side on one stored target, then one of them again: every pair has one key, and no key two pairs."""
+    pairs, path, natural = lines(spark, sf_dir).select("l_partkey", "l_suppkey").distinct(), fresh_folder(spark, "ledger"), ["l_partkey", "l_suppkey"]
+    target = assign_from_ledger(pairs.filter("l_partkey % 3 = 0"), None, "Pair_SK", natural, path, 1000)
+    loads = [assign_from_ledger(pairs.filter(f"l_partkey % 3 <> 2 AND l_suppkey % 2 = {k}"), target, "Pair_SK", natural, path, 1000) for k in (0, 1)]
+    stored = checkpointed(target.unionByName(loads[0]).unionByName(loads[1]))
+    again = assign_from_ledger(pairs, stored, "Pair_SK", natural, path, 1000)
+    whole = stored.withColumn("load", F.when(F.col("l_partkey") % 3 == 0, 0).otherwise(1)).unionByName(again.withColumn("load", F.lit(2)))
+    holders = whole.groupBy("Pair_SK").agg(F.count("*").alias("holders"))
+    return whole.join(holders, "Pair_SK").select(*natural, "load", "holders", (F.col("Pair_SK") > 0).alias("keyed"))
+
+
 def lines(spark, sf_dir: str):
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
@@ -370,6 +383,9 @@ def register(reg: Registry) -> None:
             lambda s, d: number_rows(lines(s, d).select("l_partkey", "l_suppkey").distinct(), ["l_partkey", "l_suppkey"], "Pair_SK"),
             """SELECT *, row_number() OVER (ORDER BY l_partkey, l_suppkey) AS Pair_SK
                FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) AS p""")
+    reg.add("d01_ledger_keys", ledger_keys, """
+        SELECT DISTINCT l_partkey, l_suppkey, CASE l_partkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS load, 1::BIGINT AS holders, true AS keyed
+        FROM lineitem""")
     for n, name in ((2, "dim_currency"), (3, "dim_customer"), (5, "dim_location"), (6, "dim_product"),
                     (7, "dim_supplier"), (8, "dim_territory")):
         reg.add(f"d{n:02d}_{name}", lambda s, d, x=name: second_load(s, d, x), second_load_sql(name))

@@ -291,3 +291,21 @@ def test_ranges_of_odd_tables(spark, rows, tmp_path):
     assert not exists(spark, str(tmp_path / "new")) and read_ranges(spark, path, keys).count() == 4
     with pytest.raises(ValueError, match="columns differ"):
         upsert_ranges(frame(("q", 1, 1.0)).withColumnRenamed("v", "w"), path, keys, ["w"])
+
+
+def test_blocks_of_keys_are_reserved_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tarnlake.operators.ledger import assign_from_ledger, reserve
+
+    path = str(tmp_path / "ledger")
+    with ThreadPoolExecutor(4) as pool:
+        taken = [n for some in pool.map(lambda k: reserve(spark, path, k), (3, 5, 2, 4, 1)) for n in some]
+    assert len(taken) == 15 == len(set(taken)) and reserve(spark, path, 0) == []
+    new = spark.range(2500).withColumnRenamed("id", "nk").repartition(7)
+    first = assign_from_ledger(new, None, "sk", ["nk"], path, block=1000)
+    keys = sorted(r.sk for r in first.collect())
+    assert len(set(keys)) == 2500 and min(keys) > 15 * 1000 and first.columns == ["nk", "sk"]
+    more = assign_from_ledger(spark.range(2490, 2600).withColumnRenamed("id", "nk"), first, "sk", ["nk"], path, block=1000)
+    assert {r.nk for r in more.collect()} == set(range(2500, 2600)) and not {r.sk for r in more.collect()} & set(keys)
+    assert assign_from_ledger(new, first, "sk", ["nk"], path).isEmpty()

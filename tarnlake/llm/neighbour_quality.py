@@ -10,8 +10,8 @@ The labelled vectors and the projection have sizes fixed by the parameters, so t
 is scored on its whole text.
 
 Null and empty texts, and texts with no known term, score 0. Labels or ids that are null are left out of the fit; a
-document labelled twice counts twice. With no labelled row at all every text scores 0. Equally near
-neighbours are taken in the order of the sample. All columns are kept; an old ``score`` is replaced. An empty table
+document labelled twice counts twice. With no labelled row at all every text scores 0. All neighbours
+as near as the last one vote, so ties depend on no order. All columns are kept; an old ``score`` is replaced. An empty table
 gives an empty one.
 """
 

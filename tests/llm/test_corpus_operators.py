@@ -1,6 +1,7 @@
 """Operators that compare documents or fit models: against brute force, round trips and held-out labels."""
 
 import collections
+import itertools
 import random
 import re
 
@@ -284,6 +285,78 @@ def test_neighbours_tell_quality(spark, docs, prose):
     assert {r.score for r in neighbour_quality.score(rows.limit(3), blank).collect()} == {0.0}
 
 
+def plain_terms(text):
+    """Term counts of a text, letter by letter and word by word."""
+    data, counts = (text or "").encode(), collections.Counter()
+    kinds = [int(neighbour_quality.CLASS[b]) for b in data]
+    for a, b in zip(kinds, kinds[1:]):
+        counts[a * neighbour_quality.CLASSES + b] += 1
+    hashed = []
+    for w in re.findall(rb"[^\x20\x09-\x0D]+", data):
+        hashes, _ = textvec.words(np.frombuffer(w, np.uint8), np.array([0, len(w)]))
+        hashed.append(int(hashes[0]))
+        counts[neighbour_quality.CLASSES**2 + hashed[-1] % neighbour_quality.HASHED] += 1
+    out = np.zeros(neighbour_quality.TERMS)
+    for k, n in counts.items():
+        out[k] = np.log1p(n)
+    again = sum(a == b for a, b in zip(hashed, hashed[1:])) / max(len(hashed), 1)
+    out[-len(neighbour_quality.STEPS) :] = 3 * (again > neighbour_quality.STEPS)
+    return out
+
+
+def test_votes_equal_a_plain_search_of_all_labelled_texts(spark, docs, prose):
+    """Every labelled vector compared one by one, in double precision."""
+    texts = [(i, f"{prose(i, 5 + i % 70)}. {'! ' * (i % 9)}" if i % 4 else " ".join([f"w{i}"] * (i % 30))) for i in range(200)]
+    rows = docs([*texts, (900, None), (901, ""), (902, "Only One")])
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i, _ in texts], "doc_id long, quality int")
+    training = neighbour_quality.training_rows(rows, labels, "quality", 90)
+    space = neighbour_quality.fit(training, "quality", sample=90, axes=12)
+    known = sorted(((r.doc_id, r.quality, r.text) for r in training.collect()))
+    assert [y for _, y, _ in known] == space.labels.tolist()
+    weights, axes = space.weights.astype(float), space.axes.astype(float)
+
+    def vector(text):
+        z = (plain_terms(text) * weights) @ axes
+        return z / max(np.linalg.norm(z), 1e-9)
+
+    vectors = [vector(t) for _, _, t in known]
+    assert np.abs(np.array(vectors) - space.vectors).max() < 1e-4
+    got = {r.doc_id: r.score for r in neighbour_quality.score(rows, space, neighbours=7, power=4).collect()}
+    for i, t in [*texts, (900, None), (901, ""), (902, "Only One")]:
+        mine = vector(t)
+        near = sorted(((float(mine @ v), y) for v, (_, y, _) in zip(vectors, known)), reverse=True)
+        bar = near[6][0] - 1e-6
+        votes = [(max(s, 0) ** 4, y) for s, y in near if s >= bar]
+        want = sum(w * y for w, y in votes) / sum(w for w, _ in votes) if t and sum(w for w, _ in votes) else 0.0
+        assert abs(got[i] - want) < 5e-3, (i, got[i], want)
+
+
+def test_recall_of_near_copies_among_the_given_paragraphs(spark):
+    """All pairs of paragraphs whose sets reach 80 %, counted on the given documents: nine in ten at least are one cluster."""
+    from pathlib import Path
+
+    folder = Path("/root/testdata/sf0.01/documents.parquet")
+    if not folder.exists():
+        pytest.skip("test tables absent")
+    bounded_batches(spark)
+    given = spark.read.parquet(str(folder))
+    sets = {}
+    for r in given.select("doc_id", "text").collect():
+        for k, line in enumerate((r.text or "").split("\n")):
+            if len(words(line)) >= 40:
+                sets[r.doc_id, k] = frozenset(hash(x) for x in shingle_set(line, 5))
+    holders = collections.defaultdict(list)
+    for place, found in sets.items():
+        for g in found:
+            holders[g].append(place)
+    shared = collections.Counter(p for places in holders.values() if 1 < len(places) < 400 for p in itertools.combinations(places, 2))
+    pairs = [(a, b) for (a, b), n in shared.items() if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n) and sets[a] != sets[b]]
+    cluster = {(r.doc_id, r.paragraph): (r.first_doc_id, r.first_paragraph) for r in paragraph_dedup.repeated_paragraphs(given).collect()}
+    met = sum(a in cluster and cluster.get(a) == cluster.get(b) for a, b in pairs)
+    print("pairs", len(pairs), "in one cluster", met)
+    assert len(pairs) >= 10 and met >= 0.9 * len(pairs)
+
+
 def test_mixing_reaches_the_targets(spark, docs, prose):
     plain = [(i, f"{prose(i, 40)} fine") for i in range(150)]
     odd = [(1000 + i, f"{prose(i, 40)} horrid nasty") for i in range(50)]

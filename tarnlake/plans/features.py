@@ -261,10 +261,18 @@ def customer_daily(star: Star) -> DataFrame:
     daily = checkpointed(dated_lines(star).groupBy(CUSTOMER, DAY).agg(
         F.sum("OrderQty").cast("long").alias("DailyQty"), F.sum("LineTotal").alias("_amount")
     ))
-    end = daily.agg(F.max(DAY)).scalar()
-    last = F.least(F.date_add(DAY, 365), end)
+    return customer_of_days(daily, star["dim_customer"], daily.agg(F.max(DAY)).scalar())
+
+
+# Days that a customer's series goes on after the last sale.
+CUSTOMER_TAIL = 365
+
+
+def customer_of_days(daily: DataFrame, customers: DataFrame, end: Column) -> DataFrame:
+    """The same from sums per customer and day, some customers' or all; ``end``: the last day of all data."""
+    last = F.least(F.date_add(DAY, CUSTOMER_TAIL), end)
     # The type joins the days with sales and is carried along, not the dense rows.
-    kinds = star["dim_customer"].select(CUSTOMER, "CustomerType")
+    kinds = customers.select(CUSTOMER, "CustomerType")
     days = dense_series(
         daily.join(kinds, CUSTOMER), [CUSTOMER, "CustomerType"], DAY, ["DailyQty", "_amount"],
         upper=last, events={"_last": F.col("DailyQty") > 0},

@@ -45,7 +45,7 @@ def duplicate_checks(df: DataFrame, key_sets: Sequence[str | Sequence[str]]) ->
     wide they are, and equal keys are collapsed inside tasks before they are shuffled."""
     sets = [[k] if isinstance(k, str) else list(k) for k in key_sets]
     if not sets:
-        return _as_rows(df.agg(F.count(F.lit(1)).alias("total")), [], "DUPLICATE")
+        return df.sparkSession.createDataFrame([], "ColumnName string, CheckType string, TotalRows bigint, FailedRows bigint")
 
     def key(i: int, cols: list[str]) -> Column:
         # A hash passes over nulls, so it is told where they are.

@@ -14,7 +14,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,13 +73,14 @@ def _add_files(rows: DataFrame, path: str, keys: Sequence[str], overrides: bool,
     ranged.withColumn(LOAD, F.lit(load)).write.mode("overwrite").parquet(target)
     block = _block(keys[0], kind)
     written = spark.read.schema(rows.schema).parquet(target).select(F.col("_metadata.file_name").alias("name"), keys[0], block.alias("block"))
-    stats = written.groupBy("name").agg(
-        F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high"), F.count("*").alias("rows"),
-        F.count_distinct("block").alias("n_blocks"))
-    # Only files with few blocks list them; the others are never collected.
-    few = written.join(stats.filter(F.col("n_blocks") <= MOST_BLOCKS).select("name"), "name", "left_semi").groupBy("name").agg(F.collect_set("block").alias("blocks"))
-    return stats.join(few, "name", "left").select(
-        F.concat(F.lit(f"{folder}/"), "name").alias("file"), F.lit(overrides).alias("overrides"), F.lit(load).alias("load"), "low", "high", "rows", "blocks")
+    # Rows are counted per block first; a file lists its blocks only if they are few.
+    found = written.groupBy("name", "block").agg(F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high"), F.count("*").alias("rows"))
+    stats = found.withColumn("nth", F.row_number().over(Window.partitionBy("name").orderBy("block"))).groupBy("name").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("rows").alias("rows"), F.count("*").alias("n_blocks"),
+        F.collect_list(F.when(F.col("nth") <= MOST_BLOCKS, F.col("block"))).alias("blocks"))
+    return stats.select(
+        F.concat(F.lit(f"{folder}/"), "name").alias("file"), F.lit(overrides).alias("overrides"), F.lit(load).alias("load"), "low", "high", "rows",
+        F.when(F.col("n_blocks") <= MOST_BLOCKS, F.col("blocks")).alias("blocks"))
 
 
 def _publish(spark: SparkSession, path: str, schema: T.StructType, parts: Sequence[DataFrame]) -> None:

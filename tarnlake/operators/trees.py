@@ -80,15 +80,23 @@ def _squares(names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, [F.col(n).cast("double") * F.col(n).cast("double") for n in names]) / total.cast("double")
 
 
-def _best_splits(placed: DataFrame, forest: Forest, level: int) -> DataFrame:
+def _looks(nodes: DataFrame, forest: Forest) -> DataFrame:
+    """The features that each of the nodes (tree, node) looks at, drawn once for a node: those of the lowest hashes."""
+    s = forest.settings
+    drawn = [F.struct(F.md5(F.concat_ws(":", F.lit(s.seed), "tree", "node", F.lit(str(g))).cast("binary")).alias("h"), F.lit(g).alias("g"))
+             for g in range(len(forest.features))]
+    return nodes.select("tree", "node", F.explode(F.slice(F.array_sort(F.array(*drawn)), 1, s.columns)["g"]).alias("feature"))
+
+
+def _best_splits(placed: DataFrame, nodes: DataFrame, forest: Forest, level: int) -> DataFrame:
+    """``nodes``: those that rows of this level may be in."""
     s, k = forest.settings, forest.classes
     here = placed.filter(F.col("node") >= 1 << level)
-    bins = here.select("tree", "node", "label", "weight", F.posexplode("bins").alias("feature", "bin"))
-    drawn = [F.md5(F.concat_ws(":", F.lit(s.seed), "tree", "node", F.lit(str(g))).cast("binary")) for g in range(len(forest.features))]
-    own = F.element_at(F.array(*drawn), F.col("feature") + 1)
-    lower = reduce(lambda a, b: a + b, [(d < own).cast("int") for d in drawn])
+    # No more rows than trees times nodes of a level times features of a node; rows are repeated for those features only.
+    bins = here.join(F.broadcast(_looks(nodes, forest)), ["tree", "node"]).select(
+        "tree", "node", "label", "weight", "feature", F.element_at("bins", F.col("feature") + 1).alias("bin"))
     counts = bins.groupBy("tree", "node", "feature", "bin").agg(
-        *[F.sum(F.when(F.col("label") == c, F.col("weight")).otherwise(0)).alias(n) for c, n in enumerate(_classes("c", k))]).filter(lower < s.columns)
+        *[F.sum(F.when(F.col("label") == c, F.col("weight")).otherwise(0)).alias(n) for c, n in enumerate(_classes("c", k))])
     whole = Window.partitionBy("tree", "node", "feature")
     upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = counts.withColumns({
@@ -109,13 +117,14 @@ def fit(train: DataFrame, key: str, label: str, features: Sequence[str], classes
     forest = Forest(list(features), exact_cuts(train, features, settings.bins), classes, settings, None, None)
     drawn = draw(F.lit(settings.seed), F.lit("row"), F.col("tree").cast("string"), F.col("_key"))
     weight = reduce(lambda a, b: a + b, [(drawn >= F.lit(step)).cast("int") for step in settings.poisson])
-    placed = train.select(
-        F.col(key).cast("string").alias("_key"), F.col(label).cast("int").alias("label"), forest.binned(train).alias("bins"),
-        F.explode(F.sequence(F.lit(0), F.lit(settings.trees - 1))).alias("tree"))
+    # Bins are worked out before rows are repeated for the trees.
+    rows = train.select(F.col(key).cast("string").alias("_key"), F.col(label).cast("int").alias("label"), forest.binned(train).alias("bins"))
+    placed = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(settings.trees - 1))))
     placed = checkpointed(placed.withColumn("weight", weight).filter("weight > 0").withColumn("node", F.lit(1)).drop("_key"))
-    found = []
+    found, nodes = [], train.sparkSession.range(settings.trees).select(F.col("id").cast("int").alias("tree"), F.lit(1).alias("node"))
     for level in range(settings.depth):
-        best = checkpointed(_best_splits(placed, forest, level))
+        best = checkpointed(_best_splits(placed, nodes, forest, level))
+        nodes = best.select("tree", F.explode(F.array(F.col("node") * 2, F.col("node") * 2 + 1)).alias("node"))
         found.append(best)
         # No more rows than trees times nodes of a level.
         moves = F.broadcast(best.select("tree", "node", F.col("feature").alias("_f"), F.col("bin").alias("_b")))
@@ -135,7 +144,8 @@ def predict(df: DataFrame, forest: Forest) -> DataFrame:
     """Add prediction and confidence: the class of the highest mean share over the trees, the lowest of equal ones."""
     s, names = forest.settings, _classes("c", forest.classes)
     rows = checkpointed(df.withColumn("_row", F.monotonically_increasing_id()))
-    placed = rows.select("_row", forest.binned(rows).alias("bins"), F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1))).alias("tree"), F.lit(1).alias("node"))
+    placed = rows.select("_row", forest.binned(rows).alias("bins"), F.lit(1).alias("node")).withColumn(
+        "tree", F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1))))
     moves = F.broadcast(forest.splits.select("tree", F.col("node").alias("_n"), F.col("feature").alias("_f"), F.col("bin").alias("_b")))
     for _ in range(s.depth):
         step = moves.withColumnRenamed("tree", "_t")

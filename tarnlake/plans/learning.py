@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.operators.timeseries import series_window
+from tarnlake.session import checkpointed
 
 TIER_FEATURES = (
     "TotalOrdersFirst90Days", "SpendFirst90Days", "AvgTicketFirst90Days", "ProductDiversity",
@@ -54,6 +55,8 @@ def scores(predictions: DataFrame) -> DataFrame:
     names = {
         "accuracy": "accuracy", "precision": "weightedPrecision", "recall": "weightedRecall", "f1": "f1",
     }
+    # Stored, for each metric reads them.
+    predictions = checkpointed(predictions.select("label", "prediction"))
     rows = [
         (name, float(MulticlassClassificationEvaluator(
             labelCol="label", predictionCol="prediction", metricName=metric).evaluate(predictions)))
@@ -64,6 +67,7 @@ def scores(predictions: DataFrame) -> DataFrame:
 
 def confusion(predictions: DataFrame) -> DataFrame:
     """Counts of predicted class (columns) per true class (rows), for every class that is met."""
+    predictions = checkpointed(predictions.select("label", "prediction"))
     classes = int(predictions.agg(F.max(F.greatest("label", "prediction"))).first()[0] or 0) + 1
     wide = predictions.groupBy(F.col("label").cast("int").alias("label")).pivot(
         "prediction", [float(i) for i in range(classes)]

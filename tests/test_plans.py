@@ -228,3 +228,24 @@ def test_trees_learn_a_plain_rule_and_do_not_depend_on_partitions(spark, rows):
     # One class only: no split, and every row is told that class.
     flat = trees.fit(train.withColumn("label", F.lit(1)), "k", "label", ["x"], 3, s)
     assert flat.splits.isEmpty() and trees.predict(test, flat).filter("prediction <> 1 OR confidence <> 1").isEmpty()
+
+
+def test_nodes_draw_their_features_once_and_not_for_every_row(spark):
+    import hashlib
+
+    from tarnlake.operators import trees
+
+    s = trees.Settings(trees=2, columns=2)
+    forest = trees.Forest(["a", "b", "c"], {}, 2, s, None, None)
+    nodes = spark.createDataFrame([(0, 1), (1, 2), (1, 3)], "tree int, node int")
+    seen = {}
+    for r in trees._looks(nodes, forest).collect():
+        seen.setdefault((r.tree, r.node), set()).add(r.feature)
+    for (t, n), features in seen.items():
+        hashes = [hashlib.md5(f"{s.seed}:{t}:{n}:{g}".encode()).hexdigest() for g in range(3)]
+        assert features == {g for g in range(3) if sum(h < hashes[g] for h in hashes) < 2}
+    assert len(seen) == 3
+    placed = spark.createDataFrame([(0, 1, 0, 1, [0, 1, 2])], "tree int, node int, label int, weight int, bins array<int>")
+    plan = trees._best_splits(placed, nodes, forest, 0)._jdf.queryExecution().optimizedPlan().toString()
+    # Before, the optimizer put the draw into a filter below the sums, where it was hashed for each row and feature.
+    assert not [line for line in plan.splitlines() if "Filter" in line and "md5" in line]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarnlake.operators.quantiles import exact_quantiles
 from tarnlake.operators.timeseries import (
     dense_series,
+    dense_trailing,
     densify,
     lagged,
     last_event,
@@ -136,3 +137,31 @@ def test_quantiles_are_exact(spark, values):
 
 def test_quantiles_of_nothing(spark):
     assert exact_quantiles(spark.createDataFrame([(None,)], "v double"), "v", [0.5]) == [None]
+
+
+@pytest.mark.parametrize("step", ["day", "month"])
+def test_dense_rows_made_from_arrays_equal_those_of_windows(spark, rows, step):
+    df = series(spark, {**CELLS, 5: {0: None, 3: 2, 9: None}}).withColumns({
+        "_f": F.when(F.col("e") < 3, F.lit(DAY0 - timedelta(40))), "_e": F.when(F.col("e") == 2, F.lit(DAY0 - timedelta(31)))})
+    if step == "month":
+        df = df.withColumns({"d": F.add_months("d", F.datediff("d", F.lit(DAY0)) % 40).cast("date")}).withColumn("d", F.trunc("d", "month"))
+        df = df.groupBy("e", "d", "_f", "_e").agg(F.sum("q").alias("q")).withColumn("_f", F.trunc("_f", "month"))
+    more = {"upper": F.add_months("d", 2), "step": step, "events": {"sold": F.col("q") > 0}, "carry": {"_first": "_f", "sold": "_e"}}
+    what = ({"s": ("q", 7)}, {"a": ("q", 30)}, {"p": ("q", 30, 30)}, {"l": ("q", 2)})
+    old = trailing(dense_series(df, ["e"], "d", ["q"], **more), ["e"], "d", *what)
+    new = dense_trailing(df, ["e"], "d", ["q"], *what, **more)
+    assert dict(new.dtypes) == dict(old.dtypes)
+    columns = ("e", "d", "q", "s", "a", "p", "l", "sold")
+    assert rows(new, *columns) == rows(old, *columns)
+
+
+def test_dense_rows_are_not_sorted(spark):
+    from tarnlake.plans import features
+
+    daily = series(spark, CELLS).toDF(features.PRODUCT, features.DAY, "DailyQty")
+    customers = spark.range(1, 5).select(F.col("id").alias(features.CUSTOMER), F.lit("x").alias("CustomerType"))
+    bought = daily.select(F.col(features.PRODUCT).alias(features.CUSTOMER), features.DAY, "DailyQty", F.col("DailyQty").alias("_amount"))
+    for out in (features.demand_of_days(daily), features.customer_of_days(bought, customers, F.lit(DAY0 + timedelta(60)))):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        # Windows stand below the row that makes the dense ones; before, a second one stood above it.
+        assert "Window" not in plan[:plan.index("Generate explode")] and "Window" in plan

@@ -165,3 +165,22 @@ def test_dense_rows_are_not_sorted(spark):
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         # Windows stand below the row that makes the dense ones; before, a second one stood above it.
         assert "Window" not in plan[:plan.index("Generate explode")] and "Window" in plan
+
+
+def test_product_ranks_move_no_dense_rows(spark, monkeypatch):
+    from pyspark.sql import Window
+
+    from tarnlake.plans import features
+
+    cells = {e: {e % 5: e % 3, e % 7 + 20: 4, 60 + e % 4: e % 2} for e in range(30)}
+    daily = series(spark, {**cells, 99: {0: None, 30: 2}}).toDF(features.PRODUCT, features.DAY, "DailyQty")
+    monkeypatch.setattr(features, "daily_product", lambda star: daily)
+    out = features.product_insights_daily({})
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # Before, a window ranked the dense rows of a day.
+    assert "Window" not in plan[:plan.index("Generate explode")]
+    w = F.rank().over(Window.partitionBy(features.DAY).orderBy(F.desc("SalesLast30Days")))
+    assert out.count() == features.demand_of_days(daily).count()
+    assert out.withColumn("w", w).filter("Ranking30Days <> w").isEmpty()
+    monkeypatch.setattr(features, "BROADCAST_PLACES", 0)
+    assert out.exceptAll(features.product_insights_daily({})).isEmpty()

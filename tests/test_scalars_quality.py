@@ -161,3 +161,12 @@ def test_duplicates_of_many_columns_in_one_pass(spark, rows):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan and plan.count("Scan") <= 1 + plan.count("ReusedExchange")
     assert duplicate_checks(df.limit(0), ["k", "x"]).isEmpty() and duplicate_checks(df, []).isEmpty()
+
+
+def test_duplicate_checks_group_by_plain_columns(spark):
+    from tarnlake.operators.quality import duplicate_checks
+
+    out = duplicate_checks(spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "c")], "x int, y string"), ["x", ("x", "y")])
+    assert {(r.ColumnName, r.TotalRows, r.FailedRows) for r in out.collect()} == {("x", 4, 2), ("x, y", 4, 1)}
+    # Sums keyed by a struct are kept out of the fast hash map.
+    assert "Aggregate [i#" in out._jdf.queryExecution().optimizedPlan().toString()

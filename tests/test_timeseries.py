@@ -184,3 +184,9 @@ def test_product_ranks_move_no_dense_rows(spark, monkeypatch):
     assert out.withColumn("w", w).filter("Ranking30Days <> w").isEmpty()
     monkeypatch.setattr(features, "BROADCAST_PLACES", 0)
     assert out.exceptAll(features.product_insights_daily({})).isEmpty()
+
+
+def test_two_rows_of_one_date_fail(spark):
+    twice = series(spark, {1: {0: 1, 3: 2}}).unionByName(series(spark, {1: {3: 2}}))
+    with pytest.raises(Exception, match="two rows of one date"):
+        dense_trailing(twice, ["e"], "d", ["q"], {"s": ("q", 7)}).collect()

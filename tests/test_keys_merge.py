@@ -309,3 +309,25 @@ def test_blocks_of_keys_are_reserved_once(spark, tmp_path):
     more = assign_from_ledger(spark.range(2490, 2600).withColumnRenamed("id", "nk"), first, "sk", ["nk"], path, block=1000)
     assert {r.nk for r in more.collect()} == set(range(2500, 2600)) and not {r.sk for r in more.collect()} & set(keys)
     assert assign_from_ledger(new, first, "sk", ["nk"], path).isEmpty()
+
+
+def test_many_blocks_take_few_files(spark, tmp_path):
+    """A load of thousands of blocks reserves them in stretches, side by side with others, and keys stay unique."""
+    import os
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tarnlake.operators.ledger import assign_from_ledger, reserve
+
+    path = str(tmp_path / "ledger")
+    with ThreadPoolExecutor(3) as pool:
+        taken = [n for some in pool.map(lambda k: reserve(spark, path, k), (5000, 4097, 130)) for n in some]
+    assert len(taken) == len(set(taken)) == 5000 + 4097 + 130
+    before = len([f for f in os.listdir(path) if not f.startswith(".")])
+    assert before < 100
+    new = spark.range(9000).withColumnRenamed("id", "nk").repartition(5)
+    first = assign_from_ledger(new, None, "sk", ["nk"], path, block=2).cache()
+    keys = [r.sk for r in first.collect()]
+    assert len(keys) == len(set(keys)) == 9000 and min(keys) > 0
+    assert not {(k - 1) // 2 for k in keys} & set(taken) and len([f for f in os.listdir(path) if not f.startswith(".")]) < before + 100
+    more = assign_from_ledger(spark.range(8990, 9300).withColumnRenamed("id", "nk"), first, "sk", ["nk"], path, block=2).collect()
+    assert {r.nk for r in more} == set(range(9000, 9300)) and not {r.sk for r in more} & set(keys)

@@ -68,3 +68,22 @@ def test_plans_have_no_nested_loops_and_read_few_columns(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?customer.parquet", plan)
     assert all("c_acctbal" not in s for s in scans)
+
+
+def test_tasks_read_bounded_splits_and_partitions(spark):
+    """A task's memory must not grow with the table: splits and shuffle partitions are bounded, smaller bounds stay."""
+    from tarnlake.session import TABLE_PARTITIONS, tune
+
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    first, kept = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", {n: spark.conf.get(n) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "128MB")
+        tune(spark, TABLE_PARTITIONS)
+        assert [int(spark.conf.get(n)) >> 20 for n in names] == [32, 16] and int(spark.conf.get(first)) == TABLE_PARTITIONS
+        spark.conf.set(names[0], "1m")
+        tune(spark)
+        assert spark.conf.get(names[0]) == "1m" and spark.conf.get(first) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        for n, value in kept.items():
+            spark.conf.set(n, value)

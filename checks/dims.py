@@ -13,7 +13,7 @@ from tarnlake.operators.merge import ACTION, duplicate_keys, merge_counts, scd1_
 from tarnlake.plans import dims, facts
 from tarnlake.session import checkpointed, fresh_folder
 from tarnlake.sinks import tables as sink
-from tarnlake.sinks.ranges import compact_ranges, read_ranges, upsert_ranges
+from tarnlake.sinks.ranges import compact_ranges, read_ranges, staged, upsert_ranges
 
 _NR = "'Not registered'"
 
@@ -234,13 +234,13 @@ def fact_rows(spark, sf_dir: str, name: str):
 
 def fact_load(spark, sf_dir: str, name: str):
     # Stored, as the tables between two jobs are: both loads start from it.
-    now = checkpointed(fact_rows(spark, sf_dir, name))
+    now = staged(fact_rows(spark, sf_dir, name))
     keep, column, old = FACT_EARLIER[name]
     earlier = now.filter(keep).withColumn(column, F.expr(old).cast(now.schema[column].dataType))
     # Through stored tables: the earlier load, then the upsert that adds files to it.
     path, keys = fresh_folder(spark, name), list(facts.FACT_KEYS[name])
-    facts.upsert_fact(name, earlier, path)
-    done = facts.upsert_fact(name, now, path)
+    facts.upsert_fact(name, earlier, path, staged=True)
+    done = facts.upsert_fact(name, now, path, staged=True)
     return tidy(with_actions(read_ranges(spark, path, keys), done, keys))
 
 

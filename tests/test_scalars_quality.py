@@ -170,3 +170,34 @@ def test_duplicate_checks_group_by_plain_columns(spark):
     assert {(r.ColumnName, r.TotalRows, r.FailedRows) for r in out.collect()} == {("x", 4, 2), ("x, y", 4, 1)}
     # Sums keyed by a struct are kept out of the fast hash map.
     assert "Aggregate [i#" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_quality_reads_the_table_once(spark, tmp_path):
+    """Blank values and repeated keys are found in one pass, also with several keys, nulls and no rows."""
+    from tarnlake.operators import quality
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a"), (1, " "), (None, None), (2, "a"), (None, None)], "i int, s string").write.parquet(path)
+    df = spark.read.parquet(path)
+
+    def told(rows):
+        out = quality.quality(rows, ["i", "s"], ["i", ("i", "s")], run_id="r", process="p", layer="SILVER", table="t")
+        return out, {(r.ColumnName, r.CheckType): (r.TotalRows, r.FailedRows, r.Status) for r in out.collect()}
+
+    out, found = told(df)
+    assert found == {
+        ("i", "NULL"): (5, 2, "FAIL"), ("s", "NULL"): (5, 3, "FAIL"), ("i", "DUPLICATE"): (5, 2, "FAIL"), ("i, s", "DUPLICATE"): (5, 1, "FAIL")}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert told(df.limit(0))[1] == {}
+
+
+def test_cleaned_rows_are_not_shuffled_again_for_their_key(spark):
+    """A cleaned table lies by its key, so its checks add only the shuffle of the last sum."""
+    from tarnlake.operators import quality
+    from tarnlake.operators.dedup import dedup
+
+    df = dedup(spark.range(50).selectExpr("id % 7 AS i", "id % 2 AS j", "id"), ["i", "j"])
+    plan = quality.quality(df, ["i"], [("i", "j")], run_id="r", process="p", layer="SILVER", table="t")
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(i") == 1
+    assert "xxhash64" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert [(r.TotalRows, r.FailedRows) for r in plan.collect()] == [(14, 0), (14, 0)]

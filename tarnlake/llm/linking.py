@@ -158,6 +158,35 @@ def matches(one: pa.ChunkedArray, roots: np.ndarray, two: pa.ChunkedArray, other
     return out
 
 
+# Groups at one token beyond which the nodes there are met by their rarest elements.
+CROWD = 32
+
+
+def met_by_rarest(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, root, group): the larger groups with a member that a node may be similar to, by what they hold of these nodes.
+
+    nodes: stored rows (node, root, members). All sets are put in one order, rare elements first. Two sets that must share T elements
+    share one of the first |a| - T + 1 and |b| - T + 1. T is ``percent`` of the larger set at least, and more of the
+    smaller one, so a short prefix of one meets a long one of the other. What many copies have in common comes last and what one of
+    them has for itself comes first: copies that are too far apart to be similar hardly meet, however many there are.
+    """
+    size = F.size("tokens")
+    rows = stored(nodes.join(sets, "node").select(
+        "node", "root", "members", size.alias("size"), (size - F.ceil(size * percent / 100) + 1).alias("long"),
+        (size - F.ceil(size * 2 * percent / (100 + percent)) + 1).alias("short"), F.explode("tokens").alias("token")), "elements")
+    often = rows.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
+    of = W.Window.partitionBy("node")
+    placed = rows.join(often, "token").withColumn(
+        "rank", F.row_number().over(of.orderBy("n", "token")) + F.col("size") - F.count("*").over(of)).filter(F.col("rank") <= F.col("long"))
+    rare = stored(placed.select("token", "node", "root", "members", (F.col("rank") <= F.col("short")).alias("first")), "rare")
+    held = stored(rare.groupBy("token", F.col("root").alias("group")).agg(
+        F.max("first").alias("group_first"), F.first("members").alias("group_members")), "held")
+    asks = F.struct("members", "root") < F.struct(F.col("group_members").alias("members"), F.col("group").alias("root"))
+    by_short = rare.filter("first").join(held, "token").filter(asks)
+    by_long = rare.filter("not first").join(held.filter("group_first"), "token").filter(asks)
+    return by_short.unionByName(by_long).select("node", "root", "group").distinct()
+
+
 def link_by_matrix(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of groups of similar nodes by a token-group matrix; nodes without a link are absent.
 
@@ -181,10 +210,19 @@ def link_by_matrix(postings: DataFrame, sets: DataFrame, percent: int) -> DataFr
     # Token-group matrix: the union of each group's tokens, as rows.
     matrix = stored(placed.groupBy("token", "m", F.col("root").alias("group")).agg(
         F.max("early").alias("early"), F.max(F.col("early") & ~F.col("guest")).alias("host"), F.first("members").alias("group_members"), F.first("largest").alias("group_largest")), "matrix")
-    # The smaller group's nodes ask the larger; equal ones in one direction.
+    # The smaller group's nodes ask the larger; equal ones in one direction. At a token of many groups, as of copies that no pivot
+    # links, every node would ask every other.
     asks = F.struct("members", "root") < F.struct(F.col("group_members").alias("members"), F.col("group").alias("root"))
     columns = ["node", "m", "free", "size", "root", "group", "group_largest"]
-    asked = stored(placed.filter("early").join(matrix.filter("early").drop("early", "m"), "token").filter(asks & (~F.col("guest") | F.col("host"))).select(*columns).distinct(), "asked")
+    early, hosts = placed.filter("early"), matrix.filter("early").drop("early", "m")
+    crowded = stored(hosts.groupBy("token").agg(F.count("*").alias("groups")).filter(F.col("groups") > CROWD).select("token"), "crowded")
+    asked = early.join(hosts.join(crowded, "token", "left_anti"), "token").filter(asks & (~F.col("guest") | F.col("host"))).select(*columns)
+    if not crowded.isEmpty():
+        there = stored(early.join(crowded, "token", "left_semi").select("node", "root", "members").distinct(), "crowd")
+        kinds = placed.select("node", "m", "free", "size").distinct()
+        asked = asked.unionByName(met_by_rarest(there, sets, percent).join(kinds, "node").join(
+            sizes.select(F.col("root").alias("group"), F.col("largest").alias("group_largest")), "group").select(*columns))
+    asked = stored(asked.distinct(), "asked")
     # The overlap with short unions is counted on the rows as they are, with long ones token by token.
     widths = matrix.groupBy("group", "m").agg(F.count("*").alias("width"))
     short = matrix.join(widths.filter(F.col("width") <= SHORT), ["group", "m"]).groupBy("group", "m").agg(F.collect_list("token").alias("union"))

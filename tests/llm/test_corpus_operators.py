@@ -127,6 +127,52 @@ def test_hot_groups_are_compared_in_blocks(spark, prose, monkeypatch):
     assert roots(sets, found) == roots(sets, links) and all((min(x), max(x)) in links for x in found)
 
 
+def test_copies_that_no_pivot_links_ask_few_groups(spark, docs, prose, monkeypatch):
+    bounded_batches(spark)
+    base, asked = prose(1, 120), []
+    # Too far from the text and from each other, but for some that have a near copy of their own.
+    rows = [(i, edited(base, i, 4)) for i in range(160)] + [(1000 + i, edited(edited(base, i, 4), 5000 + i, 1)) for i in range(0, 160, 10)]
+
+    def counted(df, label, *more, **named):
+        out = stored(df, label, *more, **named)
+        if label == "asked":
+            asked.append(out.count())
+        return out
+
+    monkeypatch.setattr(linking, "stored", counted)
+    monkeypatch.setattr(linking, "CROWD", 8, raising=False)
+    got = {r.doc_id: r.component_id for r in shingle_join.join_documents(docs(rows), 80, 5).collect()}
+    sets = {i: shingle_set(t, 5) for i, t in rows}
+    links = [(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and 100 * len(x & y) >= 80 * len(x | y)]
+    assert got == roots(sets, links) and 16 <= len(links) < 40
+    # All pairs of them would be some 15,000.
+    assert sum(asked) < 10 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_similar_sets_meet_by_their_rarest_elements(spark, monkeypatch, percent):
+    r = random.Random(percent)
+    base, sets = r.sample(range(10**6), 40), {}
+    for i in range(150):
+        kept = r.sample(base, r.randrange(20, 41)) if i % 3 else base[: r.randrange(1, 41)]
+        sets[i] = sorted({*kept, *(r.randrange(10**6 if i % 2 else 60) for _ in range(r.randrange(8)))})
+    table = stored(spark.createDataFrame(list(sets.items()), "node long, tokens array<long>"), "s")
+    # Every third node is in the group of a neighbour.
+    groups = {i: i - (i % 3 == 2) for i in sets}
+    members = collections.Counter(groups.values())
+    nodes = stored(spark.createDataFrame([(i, g, members[g]) for i, g in groups.items()], "node long, root long, members long"), "n")
+    got = {(x.node, x.root, x.group) for x in linking.met_by_rarest(nodes, table, percent).collect()}
+    want = {
+        (a, groups[a], groups[b]) for a in sets for b in sets if (members[groups[a]], groups[a]) < (members[groups[b]], groups[b])
+        and 100 * len({*sets[a]} & {*sets[b]}) >= percent * len({*sets[a]} | {*sets[b]})}
+    assert len(want) > 5 and want <= got
+
+
+def test_the_join_is_whole_if_all_nodes_meet_by_their_rarest_elements(spark, docs, prose, monkeypatch):
+    monkeypatch.setattr(linking, "CROWD", 0)
+    test_jaccard_join_equals_brute_force(spark, docs, prose)
+
+
 def test_components_of_a_path_a_star_and_a_ring(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 50)] + [(200, 201), (201, 202), (202, 200), (7, 7)]
     got = dict(linking.components(spark.createDataFrame(edges, "a long, b long")).collect())

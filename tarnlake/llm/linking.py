@@ -174,9 +174,8 @@ def met_by_rarest(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = stored(nodes.join(sets, "node").select(
         "node", "root", "members", size.alias("size"), (size - F.ceil(size * percent / 100) + 1).alias("long"),
         (size - F.ceil(size * 2 * percent / (100 + percent)) + 1).alias("short"), F.explode("tokens").alias("token")), "elements")
-    often = rows.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
     of = W.Window.partitionBy("node")
-    placed = rows.join(often, "token").withColumn(
+    placed = shared_postings(rows).withColumn(
         "rank", F.row_number().over(of.orderBy("n", "token")) + F.col("size") - F.count("*").over(of)).filter(F.col("rank") <= F.col("long"))
     rare = stored(placed.select("token", "node", "root", "members", (F.col("rank") <= F.col("short")).alias("first")), "rare")
     held = stored(rare.groupBy("token", F.col("root").alias("group")).agg(

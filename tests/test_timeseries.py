@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from tarnlake.operators.quantiles import exact_quantiles
 from tarnlake.operators.timeseries import (
+    Trailing,
     dense_series,
     dense_trailing,
     densify,
     lagged,
     last_event,
+    pack_series,
+    rank_places,
     rank_within,
+    series_stretches,
+    stretch_rows,
     trailing,
     trailing_days,
 )
@@ -190,3 +195,30 @@ def test_two_rows_of_one_date_fail(spark):
     twice = series(spark, {1: {0: 1, 3: 2}}).unionByName(series(spark, {1: {3: 2}}))
     with pytest.raises(Exception, match="two rows of one date"):
         dense_trailing(twice, ["e"], "d", ["q"], {"s": ("q", 7)}).collect()
+
+
+def test_sums_are_worked_out_once_for_each_stretch(spark, rows):
+    """A longer calendar gives more dense rows, not more stretches; the rows are those of ``trailing``."""
+    def spec(**more):
+        return Trailing(
+            ["e"], "d", ["q"], {"s": ("q", 3)}, {"a": ("q", 4)}, {"b": ("q", 2, 3)}, {"l": ("q", 5)}, events={"on": F.col("q") > 1}, **more)
+
+    found = {}
+    for wide in (40, 4000):
+        df = series(spark, {1: {0: 5, 1: 0, 20: 7, wide: 2}, 2: {3: 1}})
+        stretches = series_stretches(pack_series(df, spec()), spec())
+        dense = trailing(
+            dense_series(df, ["e"], "d", ["q"], events={"on": F.col("q") > 1}), ["e"], "d", spec().sums, spec().means, spec().earlier, spec().lags)
+        columns = ["e", "d", "q", "on", "s", "a", "b", "l"]
+        assert rows(stretch_rows(stretches, spec()), *columns) == rows(dense, *columns)
+        found[wide] = stretches.count()
+    assert found[40] == found[4000] < 40
+
+
+def test_places_of_values_that_last(spark, rows):
+    """Ranks from rows that stand for several days are those of the days one by one."""
+    lasting = [(DAY0 + timedelta(a), v, n) for a, v, n in
+               [(0, 5, 3), (0, 5, 1), (1, 7, 4), (2, 0, 2), (3, 5, 2), (9, 5, 1), (4, 0, 1), (0, None, 2)]]
+    df = spark.createDataFrame(lasting, "d date, v long, n int")
+    days = df.select(F.explode(F.sequence("d", F.date_add("d", F.col("n") - 1))).alias("d"), "v")
+    assert rows(rank_places(df, "d", "v", "r", stretch="n")) == rows(rank_places(days, "d", "v", "r"))

@@ -119,12 +119,8 @@ def _all_raw_sql() -> str:
 
 def silver_rules(spark, sf_dir: str):
     """Rules derived from the declarations of the cleaned tables."""
-    book = rulebooks.silver_rules()
-    parts = [
-        rules.apply_rules(cleaned(spark, sf_dir, n), book, n, layer="SILVER", run_id="r1", process="clean").drop("CheckDate")
-        for n in SILVER
-    ]
-    return reduce(DataFrame.union, parts)
+    made = {n: cleaned(spark, sf_dir, n) for n in SILVER}
+    return rules.apply_rules_to_all(made, rulebooks.silver_rules(), layer="SILVER", run_id="r1", process="clean").drop("CheckDate")
 
 
 def lineage_of_writes(spark, sf_dir: str):

@@ -8,14 +8,18 @@ its required columns filled and its key unique.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from tarnlake.operators.cleaning import CleanSpec
 from tarnlake.operators.quality import RECORD, quality
+from tarnlake.session import checkpointed, shared_folder
 
 METADATA = ("FileSource", "IngestionDate")
+AT_ONCE = 4  # tables checked at the same time
 
 
 @dataclass(frozen=True)
@@ -72,3 +76,17 @@ def apply_rules(
         k for k in rule.check_dup if {c.lower() for c in ([k] if isinstance(k, str) else k)} <= have
     ] if nulls else []
     return quality(df, nulls, dups, run_id=run_id, process=process, layer=layer, table=table)
+
+
+def apply_rules_to_all(
+    tables: Mapping[str, DataFrame], book: Mapping[str, Rule], *, layer: str, run_id: str, process: str
+) -> DataFrame:
+    """Quality log rows of several tables, a few tables at a time: a table's rows are stored as soon as they are known, so
+    shuffles are never on disk for all tables at once."""
+    def checked(item: tuple[str, DataFrame]) -> DataFrame:
+        return checkpointed(apply_rules(item[1], book, item[0], layer=layer, run_id=run_id, process=process))
+
+    for df in tables.values():
+        shared_folder(df.sparkSession)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return reduce(DataFrame.unionByName, pool.map(checked, tables.items()))

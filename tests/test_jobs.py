@@ -1,6 +1,13 @@
+import time
+from pathlib import Path
 
+from pyspark.sql import functions as F
+
+from tarnlake.operators.rules import Rule, apply_rules_to_all
 from tarnlake.plans import jobs
 from tarnlake.plans.clean_tables import SPECS
+from tarnlake.session import shared_folder
+from tarnlake.sinks import ranges
 from tarnlake.sinks import tables as sink
 
 TERRITORY = "territoryid int, name string, countryregioncode string, `group` string"
@@ -118,3 +125,52 @@ def test_types_grow_only_where_values_stay():
     assert wider(T.DecimalType(10, 2), T.DecimalType(9, 4)) == T.DecimalType(12, 4)
     assert wider(T.DecimalType(38, 0), T.DecimalType(10, 2)) is None
     assert wider(i, d) is None and wider(i, s) is None and wider(T.DateType(), T.TimestampType()) is None
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_action(spark):
+    """They do not stay until the driver collects its garbage; a second read of the same plan gives the same rows."""
+    before = shuffle_files(spark)
+    left = spark.range(5000).selectExpr("id % 700 AS k", "id AS v")
+    summed = left.join(left.groupBy("k").count().hint("shuffle_merge"), "k").groupBy("k").sum("v", "count")
+    first = sorted(map(tuple, summed.collect()))
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert sorted(map(tuple, summed.collect())) == first and len(first) == 700
+
+
+def test_a_load_leaves_no_copy_of_its_rows(spark, tmp_path, rows):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before, path = set(folder.glob("incoming-*")), str(tmp_path / "t")
+    loads = [spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")]
+    done = [ranges.upsert_ranges(x, path, ["k"], ["v"]) for x in loads]
+    part = ranges.replace_within(spark.createDataFrame([(1, "e")], "k int, v string"), path, ["k"], spark.createDataFrame([(1,), (3,)], "k int"))
+    assert set(folder.glob("incoming-*")) == before
+    assert rows(ranges.read_ranges(spark, path, ["k"])) == [(1, "e"), (2, "c")]
+    assert rows(done[1].changed, "k", "v") == [(2, "c"), (3, "d")] and rows(done[1].before) == [(2, "b")]
+    assert done[1].read == 2 and rows(part.before, "k") == [(1,), (3,)]
+
+
+def test_rules_of_several_tables(spark, rows):
+    """The rows are those of the tables one by one, and are stored: the tables are not read again for them."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(k):
+        reads.add(1)
+        return k
+
+    tables = {n: spark.createDataFrame([(1,), (1,), (None,)], "k int").select(F.udf(counted, "int")("k").alias("k")) for n in ("a", "b")}
+    book = {n: Rule(("k",), ("k",)) for n in tables}
+    kw = dict(layer="SILVER", run_id="r", process="p")
+    found = apply_rules_to_all(tables, book, **kw)
+    seen = reads.value
+    assert seen and rows(found, "TableName", "CheckType", "TotalRows", "FailedRows") == [
+        (n, c, 3, 1) for n in ("a", "b") for c in ("DUPLICATE", "NULL")]
+    assert reads.value == seen
